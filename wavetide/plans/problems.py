@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavetide.functions.columns import micros, station_code
-from wavetide.operators import intervals, orphans, topn, tree
-from wavetide.sources.tables import quake_places, station_terms, table
+from wavetide.functions.columns import DAY_US, micros, station_code
+from wavetide.operators import grid, intervals, nearby, orphans, spikes, topn, tree
+from wavetide.sources.tables import quake_places, station_places, station_terms, table
 
 
 # 1: references to records that do not exist
@@ -35,6 +35,37 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.orphan_report(p1_orphans(spark, sf_dir))
 
 
+# 2: implausible spikes in measurements
+def p2_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    traces = table(spark, sf_dir, "traces").withColumn("station", station_code(F.col("station")))
+    return spikes.implausible_samples(traces)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_judged(spark, sf_dir).select("trace_id", "sample_idx")
+
+
+def p2_usual_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    traces = table(spark, sf_dir, "traces").withColumn("station", station_code(F.col("station"))).filter("station is not null")
+    return spikes.usual_steps(traces)
+
+
+# 3: irregular readings onto a regular grid
+def p3_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings = table(spark, sf_dir, "traces").select(
+        station_code(F.col("station")).alias("station"), "channel", "date", micros(F.col("starttime")).alias("start_us"), F.col("sampling_rate").alias("rate"), "data"
+    )
+    return grid.regular_series(readings)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_series(spark, sf_dir).filter("filled").select("station", "channel", "date", "slot")
+
+
+def p3_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_series(spark, sf_dir).groupBy("station", "channel", "date").agg(F.count(F.lit(1)).alias("n_slots"), F.count_if("filled").alias("n_filled"))
+
+
 # 4: a few keys holding most records
 def p4_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = table(spark, sf_dir, "tasks").withColumn("station", station_code(F.col("station")))
@@ -51,6 +82,22 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.heavy_windows(windows, stations, table(spark, sf_dir, "tasks").count())
 
 
+# 5: points near other points or regions
+def p5_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quakes = quake_places(table(spark, sf_dir, "quakes")).filter("dep between -5 and 700").withColumnRenamed("evid", "key")
+    return nearby.points_in_balls(quakes, station_places(table(spark, sf_dir, "stations")).withColumnRenamed("station", "centre"), 10.0)
+
+
+def p5_quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quakes = quake_places(table(spark, sf_dir, "quakes")).filter("dep between -5 and 700")
+    return nearby.near_pairs(quakes.select(F.col("evid").alias("key"), "lat", "lon", "dep", micros(F.col("ot")).alias("t_us")), 1.0, 20 * DAY_US)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near_station = p5_stations(spark, sf_dir).select(F.lit("station").alias("kind"), F.col("key").alias("key_a"), F.col("centre").alias("key_b"))
+    return near_station.unionByName(p5_quakes(spark, sf_dir).select(F.lit("quake").alias("kind"), "key_a", "key_b"))
+
+
 # 6: overlapping and gapped time intervals
 def recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
@@ -74,7 +121,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_report, p4_found, p4_window_counts, p4_station_counts, p6_found, p7_found, p7_ranked)
+    f.__name__: f for f in (p1_found, p1_report, p2_found, p2_usual_steps, p3_found, p3_per_source, p5_found, p4_found, p4_window_counts, p4_station_counts, p6_found, p7_found, p7_ranked)
 }
 
 CODE = "nullif(upper(trim({}, ' ' || chr(9))), '')"
@@ -101,7 +148,38 @@ _RANKED = f"""{PLACES}, edges AS (SELECT DISTINCT evid_a AS a, evid_b AS b FROM
 near AS (SELECT a AS evid, b AS nbr_evid, CAST(floor({KM.format(a="x.q", b="y.q")} * 1e6 + 0.5) AS BIGINT) AS mm FROM edges JOIN places x ON x.evid = a JOIN places y ON y.evid = b),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY evid ORDER BY mm, nbr_evid) AS INTEGER) AS rank FROM near)"""
 
+_SAMPLES = f"""named AS (SELECT trace_id, {CODE.format("station")} AS station, channel, date, {US.format("starttime")} AS a, sampling_rate AS rate, data FROM traces),
+samples AS (SELECT trace_id, station, channel, date, a, rate, CAST(unnest(data) AS DOUBLE) AS x, generate_subscripts(data, 1) - 1 AS i FROM named WHERE station IS NOT NULL)"""
+
+_STEPS = f"""{_SAMPLES}, steps AS (SELECT station, channel, date, median(abs(x - y)) AS usual_step
+  FROM (SELECT *, lag(x) OVER (PARTITION BY trace_id ORDER BY i) AS y FROM samples) WHERE isfinite(x) AND isfinite(y) GROUP BY ALL)"""
+
+_BAD = f"""{_STEPS}, near AS (SELECT trace_id, i, x, s.usual_step * 30 AS far, lag(x) OVER w AS b, lead(x, 1) OVER w AS x1, lead(x, 2) OVER w AS x2, lead(x, 3) OVER w AS x3,
+  CASE WHEN x = lag(x) OVER w THEN 0 ELSE 1 END AS new FROM samples LEFT JOIN steps s USING (station, channel, date) WINDOW w AS (PARTITION BY trace_id ORDER BY i)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY trace_id ORDER BY i) AS run FROM near),
+stuck AS (SELECT trace_id, i FROM (SELECT *, count(*) OVER (PARTITION BY trace_id, run) AS n FROM runs) WHERE n >= 20 AND NOT isnan(x) AND x IS NOT NULL),
+spike AS (
+  SELECT trace_id, i, 1 AS r FROM near WHERE abs(x - b) > far AND abs(x - x1) > far AND abs(b - x1) < far AND NOT isnan(b) AND NOT isnan(x) AND NOT isnan(x1)
+  UNION ALL SELECT trace_id, i, 2 FROM near WHERE abs(x - b) > far AND abs(x - x2) > far AND abs(x1 - b) > far AND abs(x1 - x2) > far AND abs(b - x2) < far AND NOT isnan(b) AND NOT isnan(x) AND NOT isnan(x1) AND NOT isnan(x2)
+  UNION ALL SELECT trace_id, i, 3 FROM near WHERE abs(x - b) > far AND abs(x - x3) > far AND abs(x1 - b) > far AND abs(x1 - x3) > far AND abs(x2 - b) > far AND abs(x2 - x3) > far AND abs(b - x3) < far AND NOT isnan(b) AND NOT isnan(x) AND NOT isnan(x1) AND NOT isnan(x2) AND NOT isnan(x3)),
+bad AS (SELECT trace_id, i FROM samples WHERE abs(x) > 8388607 AND NOT isnan(x) UNION SELECT trace_id, i FROM stuck UNION SELECT trace_id, i + unnest(generate_series(0, r - 1)) FROM spike)"""
+
+_SLOTS = f"""{_SAMPLES}, slots AS (SELECT DISTINCT station, channel, date, CAST(floor((a + CAST(floor(i * 1e6 / rate) AS BIGINT)) / 1e6) AS BIGINT) AS slot
+  FROM samples WHERE isfinite(x) AND a IS NOT NULL AND rate > 0 AND NOT isnan(rate)),
+every AS (SELECT station, channel, date, unnest(generate_series(min(slot), max(slot))) AS slot FROM slots GROUP BY station, channel, date)"""
+
 SQL: dict[str, str] = {
+    "p2_found": f"WITH {_BAD} SELECT trace_id, CAST(i AS INTEGER) AS sample_idx FROM bad",
+    "p2_usual_steps": f"WITH {_STEPS} SELECT * FROM steps",
+    "p3_found": f"WITH {_SLOTS} SELECT * FROM every EXCEPT SELECT * FROM slots",
+    "p3_per_source": f"""WITH {_SLOTS}, held AS (SELECT station, channel, date, count(*) AS n FROM slots GROUP BY ALL)
+SELECT station, channel, date, count(*) AS n_slots, count(*) - any_value(n) AS n_filled FROM every JOIN held USING (station, channel, date) GROUP BY ALL""",
+    "p5_found": f"""WITH {PLACES}, q AS (SELECT evid, q FROM places WHERE q.dep BETWEEN -5 AND 700),
+st AS (SELECT station, s FROM (SELECT {CODE.format("net_sta")} AS station, arg_max(struct_pack(lat := lat, lon := lon), line_no) AS s FROM stations GROUP BY ALL)
+  WHERE station IS NOT NULL AND NOT isnan(s.lat) AND abs(s.lat) <= 90 AND NOT isnan(s.lon) AND abs(s.lon) <= 180)
+SELECT 'station' AS kind, evid AS key_a, station AS key_b FROM q, st WHERE sqrt(pow({KM.format(a="q.q", b="st.s")}, 2) + pow(q.q.dep, 2)) <= 10
+UNION ALL SELECT 'quake', x.evid, y.evid FROM q x JOIN q y ON x.evid < y.evid AND abs(epoch_us(x.q.ot) - epoch_us(y.q.ot)) <= 1728000000000
+  AND abs(x.q.lat - y.q.lat) < 0.01 WHERE sqrt(pow({KM.format(a="x.q", b="y.q")}, 2) + pow(x.q.dep - y.q.dep, 2)) <= 1""",
     "p1_found": f"WITH {_REFS} SELECT table_name, period, row_id FROM orphans",
     "p1_report": f"WITH {_REFS} SELECT table_name, period, count(*) AS n_orphans, count(DISTINCT key) AS n_keys FROM orphans GROUP BY ALL",
     "p4_found": f"""WITH {_WINDOWS}, total AS (SELECT count(*) AS n FROM tasks)
