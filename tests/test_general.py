@@ -265,7 +265,9 @@ def test_sweep(spark):
 
 
 # 7
-def test_nearest_partners(spark):
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_nearest_partners(spark, monkeypatch, most):
+    monkeypatch.setattr(topn, "BROADCAST_PLACES", most)
     rng = random.Random(8)
     ids = [f"e{i:03d}" for i in range(60)]
     places = [(k, round(rng.uniform(-1, 1), 1), rng.choice([179.9, -179.9, 180.0]), 1.0) for k in ids[:50]]

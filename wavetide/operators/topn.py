@@ -7,7 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wavetide.functions.columns import ground_km
-from wavetide.operators.skew import split_join
+from wavetide.operators.skew import heavy_keys, split_join
+from wavetide.session import durable
+
+#: Places that go out as a broadcast at most.
+BROADCAST_PLACES = 200_000
 
 
 def top_n(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
@@ -22,23 +26,24 @@ def top_n(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataF
 
 
 def partner_edges(pairs: DataFrame, a: str = "evid_a", b: str = "evid_b") -> DataFrame:
-    """evid, nbr_evid: each unordered pair of two different non-null ids once in both directions, however often and in
-    whatever order it is told."""
+    """a < b: each unordered pair of two different non-null ids once, however often and in whatever order it is told."""
     x, y = F.col(a), F.col(b)
-    once = pairs.filter(x.isNotNull() & y.isNotNull() & (x != y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
-    return once
+    return pairs.filter(x.isNotNull() & y.isNotNull() & (x != y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
 def nearest_partners(pairs: DataFrame, places: DataFrame, n: int = 5) -> DataFrame:
     """evid, nbr_evid, mm, rank: for each evid of ``pairs`` its ``n`` nearest partners, equal distances by smaller evid.
 
     ``places``: evid (unique), lat, lon. Distances count in whole millimetres, rounded half up. Self-pairs, pairs with a
-    null and evids without a place drop out. A few evids stand in a large part of all pairs: their places are looked up
-    by a broadcast of checked size (``split_join``), and the window's group limit prunes them before the shuffle.
+    null and evids without a place drop out. The distinct pairs and the places are written out once. Up to
+    BROADCAST_PLACES places are broadcast; beyond that a shuffle looks them up, with the places of the few evids that
+    stand in a large part of all pairs apart (``split_join``). The window's group limit prunes those before its shuffle.
     """
-    at = places.select("evid", "lat", "lon")
+    edges, at = durable(partner_edges(pairs)), durable(places.select("evid", "lat", "lon"))
+    few = at.count() <= BROADCAST_PLACES
     side = lambda k: at.select(F.col("evid").alias(k), F.col("lat").alias(f"lat_{k}"), F.col("lon").alias(f"lon_{k}"))
-    edges = split_join(split_join(partner_edges(pairs), side("a"), "a", "inner"), side("b"), "b", "inner")
+    for k in ("a", "b"):
+        edges = edges.join(F.broadcast(side(k)), k) if few else split_join(edges, side(k), k, "inner", heavy=heavy_keys(edges, k))
     km = ground_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
     edges = edges.select("a", "b", F.floor(km * 1e6 + 0.5).cast("long").alias("mm"))
     both = edges.select(
