@@ -175,7 +175,7 @@ def made_up_docs(seed, n, alphabet):
             a = rng.randrange(len(w))
             parts += [w[a:] if rng.random() < 0.5 else w, make(rng.randrange(0, 8))]
         docs.append((k, "".join(parts)))
-    docs += [(n, None), (n + 1, ""), (n + 2, "short"), (n + 3, stock[0] + "!" + stock[0]), (None, stock[1]), (n + 4, "ab" * 60), (n + 5, "ab" * 45), (n + 6, "z" * 100), (3, docs[3][1])]
+    docs += [(n, None), (n + 1, ""), (n + 2, "short"), (n + 3, stock[0] + "!" + stock[0]), (None, stock[1]), (n + 4, "ab" * 60), (n + 5, "ab" * 45), (n + 6, "z" * 100), (3, docs[3][1]), (4, docs[7][1] + "?")]
     return docs
 
 

@@ -94,17 +94,18 @@ def shared_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP) -> DataF
     """
     gram = span // 2
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null").filter(F.length("text") >= span)
+    docs = docs.withColumn("part", F.xxhash64("text"))  # tells texts of one doc_id apart
 
     def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_pieces(whole):
                 sig, text, *places, context = compact_windows(*code_points(batch.column("text")), span, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig), batch.column("doc_id").take(pa.array(text)), *(pa.array(x.astype(np.int32)) for x in places), pa.array(context)],
-                    ["sig", "doc_id", "anchor", "s0", "s1", "ctx"],
+                    [pa.array(sig), *(batch.column(c).take(pa.array(text)) for c in ("doc_id", "part")), *(pa.array(x.astype(np.int32)) for x in places), pa.array(context)],
+                    ["sig", "doc_id", "part", "anchor", "s0", "s1", "ctx"],
                 )
 
-    windows = docs.mapInArrow(windows_of, "sig long, doc_id long, anchor int, s0 int, s1 int, ctx long")
+    windows = docs.mapInArrow(windows_of, "sig long, doc_id long, part long, anchor int, s0 int, s1 int, ctx long")
     windows = windows.withColumn("before", F.col("anchor") - F.col("s0")).withColumn("more", F.col("s1") - F.col("s0")).drop("s1")
     ends = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")]
     salt, salts = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
@@ -114,14 +115,14 @@ def shared_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP) -> DataF
 
     # one row per signature and context, with the records that have it and one place where its text stands
     key = ["sig", "ctx", "before", "more"]
-    contexts = rows.groupBy(*key).agg(*ends, F.min(F.struct("doc_id", "s0")).alias("at"))
+    contexts = rows.groupBy(*key).agg(*ends, F.min(F.struct("doc_id", "part", "s0")).alias("at"))
     per_sig = contexts.groupBy("sig").agg(F.count(F.lit(1)).alias("n_ctx"))
-    contexts = contexts.join(per_sig, "sig").select(*key, "lo", "hi", "n_ctx", F.col("at.doc_id").alias("doc_id"), F.col("at.s0").alias("s0"))
+    contexts = contexts.join(per_sig, "sig").select(*key, "lo", "hi", "n_ctx", "at.doc_id", "at.part", F.col("at.s0").alias("s0"))
     whole = contexts.filter("n_ctx = 1 and lo <> hi").select(*key, F.array(F.struct((-F.col("before")).alias("a"), (F.col("more") - F.col("before")).alias("b"))).alias("ranges"))
 
     several = contexts.filter("n_ctx > 1")
     stretch = F.substring(F.col("text"), F.col("s0") + 1, F.col("more") + F.lit(span))
-    texts = several.join(docs.dropDuplicates(["doc_id"]), "doc_id").select(*key, "lo", "hi", "n_ctx", stretch.alias("context"))
+    texts = several.join(docs.dropDuplicates(["doc_id", "part"]), ["doc_id", "part"]).select(*key, "lo", "hi", "n_ctx", stretch.alias("context"))
     few = texts.filter(F.col("n_ctx") <= group).groupBy("sig").agg(F.collect_list(F.struct("ctx", "before", "more", "lo", "hi", "context")).alias("members"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
