@@ -17,12 +17,13 @@ SECOND = 1_000_000
 BLOCK = 512
 #: Length of the embedded windows, components kept, rounds at most, and change (in standard deviations) that ends them.
 WINDOW, RANK, ROUNDS, CHANGE = 24, 3, 12, 0.01
+SOURCE = ("station", "channel", "date")
 #: Samples handled at a time within a task.
 SAMPLES = 1_000_000
 
 
 def slot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Usable readings of each trace, summed per second."""
+    """Usable readings summed per source and second, as one row per source and block with a list of its seconds."""
     for whole in batches:
         for batch in pieces(whole, "data", SAMPLES):
             values, lengths = flat(batch.column("data"))
@@ -36,17 +37,29 @@ def slot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             slot = (start[row] + offset[ok].astype(np.int64)) // SECOND
             if not len(slot):
                 continue
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(slot) != 0) | (np.diff(row) != 0)]))
-            source = pa.array(row[first])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c).take(source) for c in ("station", "channel", "date")),
-                    pa.array(slot[first]),
-                    pa.array(np.add.reduceat(values, first)),
-                    pa.array(np.diff(np.append(first, len(slot)))),
-                ],
-                ["station", "channel", "date", "slot", "total", "n"],
-            )
+            which = _source_numbers(batch)[row]
+            order = np.lexsort((slot, which))
+            which, slot, values = which[order], slot[order], values[order]
+            first = np.flatnonzero(np.concatenate([[True], (np.diff(slot) != 0) | (np.diff(which) != 0)]))
+            total, n = np.add.reduceat(values, first), np.diff(np.append(first, len(slot)))
+            which, slot = which[first], slot[first]
+            block = slot // BLOCK
+            begin = np.flatnonzero(np.concatenate([[True], (np.diff(block) != 0) | (np.diff(which) != 0)]))
+            ends = pa.array(np.append(begin, len(slot)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in ((slot - block * BLOCK).astype(np.int16), total, n.astype(np.int32))]
+            source = pa.array(which[begin])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(source) for c in SOURCE), pa.array(block[begin]), *lists], [*SOURCE, "block", "slots", "totals", "ns"])
+
+
+def _source_numbers(batch: pa.RecordBatch) -> np.ndarray:
+    """For each row the first row of the batch with its source."""
+    code = np.zeros(batch.num_rows, np.int64)
+    for c in SOURCE:
+        d = batch.column(c).dictionary_encode()
+        code = code * (len(d.dictionary) + 1) + d.indices.fill_null(len(d.dictionary)).to_numpy(zero_copy_only=False)
+        _, code = np.unique(code, return_inverse=True)
+    _, first = np.unique(code, return_index=True)
+    return first[code]
 
 
 def impute(x: np.ndarray, known: np.ndarray, window: int = WINDOW, rank: int = RANK, rounds: int = ROUNDS, change: float = CHANGE) -> np.ndarray:
@@ -83,7 +96,6 @@ def impute(x: np.ndarray, known: np.ndarray, window: int = WINDOW, rank: int = R
 
 def fill_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each block's slots with a value each: known ones as read, the others imputed and marked."""
-    names = ("station", "channel", "date")
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
@@ -115,8 +127,8 @@ def fill_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row, slot = np.nonzero(inside)
             source = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(source) for c in names), pa.array(base[row] + slot), pa.array(full[row, slot]), pa.array(~known[row, slot])],
-                [*names, "slot", "value", "filled"],
+                [*(batch.column(c).take(source) for c in SOURCE), pa.array(base[row] + slot), pa.array(full[row, slot]), pa.array(~known[row, slot])],
+                [*SOURCE, "slot", "value", "filled"],
             )
 
 
@@ -131,35 +143,41 @@ def regular_series(readings: DataFrame) -> DataFrame:
     date make a source of their own; repeated and overlapping rows enter the same slots; a source without readings, and
     an empty table, give no rows; further columns are dropped. A time past the range of timestamps is no reading.
 
-    Readings are summed per second in the tasks that read them and once more before the shuffle. The series is then cut
-    into blocks of ``BLOCK`` slots that carry the readings before and after them, so a source of any length is spread.
+    Readings are summed per second in the tasks that read them; what is left is shuffled once, as lists, to blocks of
+    ``BLOCK`` slots, so a source of any length is spread. Only one row per block runs through the window that finds the
+    readings before and after it.
     """
-    source = ["station", "channel", "date"]
-    usable = readings.filter("station is not null and start_us is not null and rate > 0 and not isnan(rate)").select(*source, "start_us", F.col("rate").cast("double").alias("rate"), "data")
-    sums = usable.mapInArrow(slot_sums, "station string, channel string, date string, slot long, total double, n long")
-    means = sums.groupBy(*source, "slot").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).select(*source, "slot", (F.col("total") / F.col("n")).alias("mean"))
+    src = F.struct(*SOURCE)  # equal also where a part is null
+    usable = readings.filter("station is not null and start_us is not null and rate > 0 and not isnan(rate)").select(*SOURCE, "start_us", F.col("rate").cast("double").alias("rate"), "data")
+    sums = usable.mapInArrow(slot_sums, "station string, channel string, date string, block long not null, slots array<smallint>, totals array<double>, ns array<int>")
+    sums = sums.select(src.alias("src"), "block", "slots", "totals", "ns").repartition("src", "block")
+    means = (
+        sums.select("src", "block", F.explode(F.arrays_zip("slots", "totals", "ns")).alias("r"))
+        .groupBy("src", "block", (F.col("block") * BLOCK + F.col("r.slots")).alias("slot"))
+        .agg((F.sum("r.totals") / F.sum("r.ns")).alias("mean"))
+    )
     blocks = (
-        means.groupBy(*source, F.floor(F.col("slot") / F.lit(BLOCK)).alias("block"))
+        means.groupBy("src", "block")
         .agg(F.array_sort(F.collect_list(F.struct("slot", "mean"))).alias("read"))
-        .select(*source, "block", F.col("read.slot").alias("slots"), F.col("read.mean").alias("means"))
-    )
-    along = W.partitionBy(*source).orderBy("block")
-    blocks = blocks.select(
-        "*",
-        F.lag(F.element_at("slots", -1)).over(along).alias("prev_slot"),
-        F.lag(F.element_at("means", -1)).over(along).alias("prev_mean"),
-        F.lead(F.element_at("slots", 1)).over(along).alias("next_slot"),
-        F.lead(F.element_at("means", 1)).over(along).alias("next_mean"),
+        .select("src", "block", F.col("read.slot").alias("slots"), F.col("read.mean").alias("means"))
     )
+    along = W.partitionBy("src").orderBy("block")
+    edge = lambda k: F.struct((F.col("block") * BLOCK + F.element_at("slots", k)).alias("slot"), (F.element_at("totals", k) / F.element_at("ns", k)).alias("mean"))
+    ends = sums.groupBy("src", "block").agg(F.min(edge(1)).alias("first"), F.max(edge(-1)).alias("last"))
+    ends = ends.select("src", "block", "last", F.lag("last").over(along).alias("prev"), F.lead("first").over(along).alias("next"))
+    ends = ends.select("src", "block", *[F.col(f"{x}.{y}").alias(f"{x}_{y}") for x in ("last", "prev", "next") for y in ("slot", "mean")])
     following = F.floor(F.col("next_slot") / F.lit(BLOCK))
-    silent = blocks.withColumn("block", F.explode(F.sequence(F.col("block") + 1, F.when(following > F.col("block") + 1, following - 1)))).select(
-        *source,
+    silent = ends.withColumn("block", F.explode(F.sequence(F.col("block") + 1, F.when(following > F.col("block") + 1, following - 1)))).select(
+        "src",
         "block",
         F.array().cast("array<long>").alias("slots"),
         F.array().cast("array<double>").alias("means"),
-        F.element_at("slots", -1).alias("prev_slot"),
-        F.element_at("means", -1).alias("prev_mean"),
+        F.col("last_slot").alias("prev_slot"),
+        F.col("last_mean").alias("prev_mean"),
         "next_slot",
         "next_mean",
     )
-    return blocks.unionByName(silent).mapInArrow(fill_blocks, "station string, channel string, date string, slot long, value double, filled boolean")
+    read = blocks.join(ends.drop("last_slot", "last_mean").hint("shuffle_hash"), ["src", "block"])
+    return read.unionByName(silent).select("src.*", *[c for c in read.columns if c != "src"]).mapInArrow(
+        fill_blocks, "station string, channel string, date string, slot long, value double, filled boolean"
+    )

@@ -137,6 +137,9 @@ def near_pairs(points: DataFrame, radius: float, within_us: int, split: int = 2)
     )
     cell = ["row", "col", "band"]
     occupied = at.select(*cell).distinct()
+    # few bytes, but each cell makes many rows: a number of tasks that AQE leaves as it is
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = occupied.repartition(parts, F.col("row"), F.floor(F.col("col") / F.lit(256)))
 
     def neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -145,7 +148,7 @@ def near_pairs(points: DataFrame, radius: float, within_us: int, split: int = 2)
                 part = pdf.iloc[k : k + AT_ONCE]
                 yield neighbouring_cells(cells, radius, band_km, *(part[c].to_numpy(np.int64) for c in cell))
 
-    links = occupied.mapInPandas(neighbours, "row long, col long, band long, b_row long, b_col long, b_band long, inside boolean")
+    links = spread.mapInPandas(neighbours, "row long, col long, band long, b_row long, b_col long, b_band long, inside boolean")
     b_cell = [F.col("row").alias("b_row"), F.col("col").alias("b_col"), F.col("band").alias("b_band")]
     links = links.join(occupied.select(*b_cell), ["b_row", "b_col", "b_band"])
     a = at.join(links, cell).withColumn("b_slice", F.explode(F.array(F.col("slice") - 1, F.col("slice"), F.col("slice") + 1)))
