@@ -29,3 +29,14 @@ def place_in_row(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(lengths)), lengths)
     return row, np.arange(len(row)) - starts[row], starts
+
+
+def first_of_source(batch: pa.RecordBatch, columns: tuple[str, ...]) -> np.ndarray:
+    """For each row the first row of the batch that is equal in ``columns`` (nulls are equal)."""
+    code = np.zeros(batch.num_rows, np.int64)
+    for c in columns:
+        d = batch.column(c).dictionary_encode()
+        code = code * (len(d.dictionary) + 1) + d.indices.fill_null(len(d.dictionary)).to_numpy(zero_copy_only=False)
+        _, code = np.unique(code, return_inverse=True)
+    _, first = np.unique(code, return_index=True)
+    return first[code]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wavetide.functions.arrays import flat, pieces, place_in_row
+from wavetide.functions.arrays import first_of_source, flat, pieces, place_in_row
 
 SECOND = 1_000_000
 #: Slots of one block; gaps are imputed block by block, so no task holds a whole series.
@@ -37,7 +37,7 @@ def slot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             slot = (start[row] + offset[ok].astype(np.int64)) // SECOND
             if not len(slot):
                 continue
-            which = _source_numbers(batch)[row]
+            which = first_of_source(batch, SOURCE)[row]
             order = np.lexsort((slot, which))
             which, slot, values = which[order], slot[order], values[order]
             first = np.flatnonzero(np.concatenate([[True], (np.diff(slot) != 0) | (np.diff(which) != 0)]))
@@ -51,17 +51,6 @@ def slot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(source) for c in SOURCE), pa.array(block[begin]), *lists], [*SOURCE, "block", "slots", "totals", "ns"])
 
 
-def _source_numbers(batch: pa.RecordBatch) -> np.ndarray:
-    """For each row the first row of the batch with its source."""
-    code = np.zeros(batch.num_rows, np.int64)
-    for c in SOURCE:
-        d = batch.column(c).dictionary_encode()
-        code = code * (len(d.dictionary) + 1) + d.indices.fill_null(len(d.dictionary)).to_numpy(zero_copy_only=False)
-        _, code = np.unique(code, return_inverse=True)
-    _, first = np.unique(code, return_index=True)
-    return first[code]
-
-
 def impute(x: np.ndarray, known: np.ndarray, window: int = WINDOW, rank: int = RANK, rounds: int = ROUNDS, change: float = CHANGE) -> np.ndarray:
     """Iterative singular-spectrum imputation of each row of ``x`` (rows, slots); ``known`` marks what stays as it is.
 

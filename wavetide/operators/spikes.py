@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wavetide.functions.arrays import flat, pieces, place_in_row
+from wavetide.functions.arrays import first_of_source, flat, pieces, place_in_row
 from wavetide.session import durable
 
 #: Largest value of a 24-bit digitizer.
@@ -29,74 +29,70 @@ VANISH_OVER, VANISH = 8, 1e-6
 #: Samples of one segment of the filter and of the run-up before it.
 SEGMENT, RUN_UP = 2048, 16
 SAMPLES = 1_000_000
+SOURCE = ("station", "channel", "date")
 
 IMPOSSIBLE, FROZEN, SPIKE = 1, 2, 4
 
 
 def step_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the absolute differences of neighbouring finite samples by source, combined per batch."""
-    names = ("station", "channel", "date")
+    """Absolute differences of neighbouring finite samples and how often they occur, combined per batch: one row per
+    source and quarter octave, with lists."""
     for whole in batches:
         for batch in pieces(whole, "data", SAMPLES):
             values, lengths = flat(batch.column("data"))
-            row, i, _ = place_in_row(lengths)
+            row, _, _ = place_in_row(lengths)
             if len(values) < 2:
                 continue
-            code = np.zeros(batch.num_rows, np.int64)
-            for d in (batch.column(c).dictionary_encode() for c in names):
-                index = d.indices.fill_null(len(d.dictionary)).to_numpy(zero_copy_only=False)
-                code = code * (len(d.dictionary) + 1) + index
-            _, one, source = np.unique(code, return_index=True, return_inverse=True)
             with np.errstate(invalid="ignore", over="ignore"):
                 step = np.abs(np.diff(values))
-            ok = (np.diff(row) == 0) & np.isfinite(step) & np.isfinite(values[1:]) & np.isfinite(values[:-1])
-            step, of = step[ok], source[row[1:][ok]]
+            ok = (np.diff(row) == 0) & np.isfinite(step)
+            step, of = step[ok], first_of_source(batch, SOURCE)[row[1:][ok]]
             if not len(step):
                 continue
             order = np.lexsort((step, of))
             step, of = step[order], of[order]
             first = np.flatnonzero(np.concatenate([[True], (np.diff(step) != 0) | (np.diff(of) != 0)]))
-            take = pa.array(one[of[first]])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(take) for c in names), pa.array(step[first]), pa.array(np.diff(np.append(first, len(step))))], [*names, "step", "n"]
-            )
+            n, step, of = np.diff(np.append(first, len(step))), step[first], of[first]
+            octave = np.where(step > 0, np.floor(np.log2(np.where(step > 0, step, 1.0)) * 4), -10_000).astype(np.int32)
+            begin = np.flatnonzero(np.concatenate([[True], (np.diff(octave) != 0) | (np.diff(of) != 0)]))
+            ends = pa.array(np.append(begin, len(step)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (step, n)]
+            take = pa.array(of[begin])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in SOURCE), pa.array(octave[begin]), *lists], [*SOURCE, "octave", "steps", "ns"])
 
 
 def usual_steps(traces: DataFrame) -> DataFrame:
     """station, channel, date, usual_step: exact median of the absolute differences of neighbouring finite samples.
 
-    Counts per source and value are combined in the tasks that read the samples. The median is then found in two
-    levels: first the octave that holds it (an octave being a bounded number of rows per source), then the value within
-    that octave, so a source with a third of all samples is spread over its octaves. Of an even number the mean of both
-    middle values.
+    Counts per source and value are combined in the tasks that read the samples and shuffled once, by source and quarter
+    octave, of which a source has a bounded number. The median is then found in two levels: the quarter octave that holds
+    it, on one row each, then the value among those of that quarter octave alone. So a source with a third of all samples is
+    spread over its octaves. Of an even number the mean of both middle values.
     """
-    source = ["station", "channel", "date"]
-    counts = traces.select(*source, "data").mapInArrow(step_counts, "station string, channel string, date string, step double, n long")
-    octave = F.when(F.col("step") > 0, F.floor(F.log2("step") * 4)).otherwise(-10_000).cast("int")
-    counts = counts.withColumn("octave", octave).groupBy(*source, "octave", "step").agg(F.sum("n").alias("n"))
-    along = W.partitionBy(*source).orderBy("octave")
-    upto = F.sum("n").over(along.rowsBetween(W.unboundedPreceding, 0))
+    counts = traces.select(*SOURCE, "data").mapInArrow(step_counts, "station string, channel string, date string, octave int not null, steps array<double>, ns array<long>")
+    # a struct of the three parts is equal also where a part is null
+    counts = counts.select(F.struct(*SOURCE).alias("src"), "octave", "steps", "ns").repartition("src", "octave")
+    upto = F.sum("n").over(W.partitionBy("src").orderBy("octave").rowsBetween(W.unboundedPreceding, 0))
+    # with both lists in use the shuffle is the same as below and Spark runs it once
+    of_row = F.aggregate(F.zip_with("steps", "ns", lambda _, n: n), F.lit(0).cast("long"), lambda a, b: a + b)
     octaves = (
-        counts.groupBy(*source, "octave").agg(F.sum("n").alias("n"))
-        .select(*source, "octave", (upto - F.col("n")).alias("below"), upto.alias("upto"), F.sum("n").over(W.partitionBy(*source)).alias("all"))
+        counts.groupBy("src", "octave").agg(F.sum(of_row).alias("n"))
+        .select("src", "octave", (upto - F.col("n")).alias("below"), upto.alias("upto"), F.sum("n").over(W.partitionBy("src")).alias("all"))
         .select("*", F.floor((F.col("all") - 1) / 2).alias("lo"), F.floor(F.col("all") / 2).alias("hi"))
         .filter("(below <= lo and lo < upto) or (below <= hi and hi < upto)")
+        .drop("upto", "all")
     )
-    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*source, "octave"]]
-    within = W.partitionBy(*source, "octave").orderBy("step").rowsBetween(W.unboundedPreceding, 0)
+    within = W.partitionBy("src", "octave").orderBy("step").rowsBetween(W.unboundedPreceding, 0)
     middle = (
-        counts.alias("l").join(octaves.alias("r"), on[0] & on[1] & on[2] & on[3])
-        .select("l.*", "below", "lo", "hi")
+        counts.join(octaves.hint("shuffle_hash"), ["src", "octave"])
+        .select("src", "octave", "below", "lo", "hi", F.explode(F.arrays_zip("steps", "ns")).alias("r"))
+        .groupBy("src", "octave", F.col("r.steps").alias("step"))
+        .agg(F.sum("r.ns").alias("n"), F.first("below").alias("below"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
         .withColumn("upto", F.col("below") + F.sum("n").over(within))
         .withColumn("from", F.col("upto") - F.col("n"))
     )
-    return (
-        middle.groupBy(*source)
-        .agg(
-            F.max(F.when(F.expr("from <= lo and lo < upto"), F.col("step"))).alias("a"), F.max(F.when(F.expr("from <= hi and hi < upto"), F.col("step"))).alias("b")
-        )
-        .select(*source, ((F.col("a") + F.col("b")) / 2).alias("usual_step"))
-    )
+    at = lambda k: F.max(F.when(F.expr(f"from <= {k} and {k} < upto"), F.col("step")))
+    return middle.groupBy("src").agg(((at("lo") + at("hi")) / 2).alias("usual_step")).select("src.*", "usual_step")
 
 
 def kalman(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,10 +218,9 @@ def implausible_samples(traces: DataFrame, broadcast_sources: int = 50_000, step
     The usual steps, one row per source, are written out once and counted: up to ``broadcast_sources`` they are
     broadcast and the samples are not shuffled; beyond that both sides are joined by a shuffle.
     """
-    source = ["station", "channel", "date"]
-    traces = traces.select("trace_id", *source, "data").filter("station is not null")
-    steps = durable(steps_of(traces)).select(*[F.col(c).alias(f"_{c}") for c in source], "usual_step")
-    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in source]
+    traces = traces.select("trace_id", *SOURCE, "data").filter("station is not null")
+    steps = durable(steps_of(traces)).select(*[F.col(c).alias(f"_{c}") for c in SOURCE], "usual_step")
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SOURCE]
     few = steps.count() <= broadcast_sources
     joined = traces.join(F.broadcast(steps) if few else steps, on[0] & on[1] & on[2], "left").select("trace_id", "usual_step", "data")
     return joined.mapInArrow(judge, "trace_id long, sample_idx int, kinds int")
