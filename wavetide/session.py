@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +21,24 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_library(spark)
     return spark
 
 
+def ship_library(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package, whatever their path; once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_wavetide_shipped", None) == context.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="wavetide-")) / "wavetide_library.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._wavetide_shipped = context.applicationId
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there, so that lost executors cost no recomputation.
 
