@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wavetide.functions.cells import ROOM, Cells, band_gap, distances
 from wavetide.functions.columns import ground_km
+from wavetide.session import durable
 
 #: Cover rows that go out as a broadcast at most.
 BROADCAST_ROWS = 400_000
@@ -93,8 +94,8 @@ def points_in_balls(points: DataFrame, centres: DataFrame, radius: float, split:
 
 
 def neighbouring_cells(cells: Cells, radius: float, band_km: float, row: np.ndarray, col: np.ndarray, band: np.ndarray) -> pd.DataFrame:
-    """a (row, col, band), b_row, b_col, b_band, inside: cells b not before a of which some point may lie within ``radius``
-    km of some point of a; ``inside`` if every point does."""
+    """row, col, band, b_row, b_col, b_band: coarsest cells b not before (row, col, band) of which some point may lie within
+    ``radius`` km of some point of it."""
     out = []
     reach = int(np.ceil(radius / (111.0 * 180.0 / cells.rows0))) + 1
     deep = np.arange(-int(np.ceil(radius / band_km)) - 1, int(np.ceil(radius / band_km)) + 2)
@@ -105,53 +106,69 @@ def neighbouring_cells(cells: Cells, radius: float, band_km: float, row: np.ndar
         for r2 in range(r, min(r + reach, cells.rows0 - 1) + 1):
             n, offsets = _columns_near(cells, r2, lat_lo[0], lat_hi[0], half[0], radius, 0)
             c2 = np.tile(np.arange(n), (len(c), 1)) if offsets is None else (np.floor((lon + 180.0) * n / 360.0).astype(np.int64)[:, None] + offsets) % n
-            near, far = distances(lat_lo[:, None], lat_hi[:, None], lon[:, None], half[:, None], *cells.bounds(np.full(c2.shape, r2), c2, 0))
+            near, _ = distances(lat_lo[:, None], lat_hi[:, None], lon[:, None], half[:, None], *cells.bounds(np.full(c2.shape, r2), c2, 0))
             who, which = np.nonzero(near <= radius * (1 + ROOM))
-            up, down = band_gap(z[who][:, None] * band_km, (z[who] + 1)[:, None] * band_km, (z[who][:, None] + deep) * band_km, (z[who][:, None] + deep + 1) * band_km)
-            d_near, d_far = near[who, which][:, None], far[who, which][:, None]
-            keep = np.hypot(d_near, up) <= radius * (1 + ROOM)
+            up, _ = band_gap(z[who][:, None] * band_km, (z[who] + 1)[:, None] * band_km, (z[who][:, None] + deep) * band_km, (z[who][:, None] + deep + 1) * band_km)
+            keep = np.hypot(near[who, which][:, None], up) <= radius * (1 + ROOM)
             if r2 == r:
                 a_col, b_col = c[who][:, None], c2[who, which][:, None]
                 keep &= (b_col > a_col) | ((b_col == a_col) & (deep >= 0))
             w, k = np.nonzero(keep)
-            inside = np.hypot(d_far, down)[w, k] <= radius * (1 - ROOM)
-            out.append(pd.DataFrame({"row": r, "col": c[who][w], "band": z[who][w], "b_row": r2, "b_col": c2[who, which][w], "b_band": z[who][w] + deep[k], "inside": inside}))
-    return pd.concat(out) if out else pd.DataFrame(columns=["row", "col", "band", "b_row", "b_col", "b_band", "inside"])
+            out.append(pd.DataFrame({"row": r, "col": c[who][w], "band": z[who][w], "b_row": r2, "b_col": c2[who, which][w], "b_band": z[who][w] + deep[k]}))
+    return pd.concat(out) if out else pd.DataFrame(columns=["row", "col", "band", "b_row", "b_col", "b_band"])
 
 
-def near_pairs(points: DataFrame, radius: float, within_us: int, split: int = 2) -> DataFrame:
+def near_pairs(points: DataFrame, radius: float, within_us: int, finer: int = 1) -> DataFrame:
     """key_a, key_b (the smaller first) of all points within ``radius`` km, depth included, and ``within_us`` of each other.
 
-    ``points``: key (unique), lat, lon, dep, t_us. The occupied cells (sides of radius / split) are the regions: each is
-    covered by its occupied neighbours, and a pair of cells is inside if all their points are near each other. Only
-    occupied pairs of cells are expanded to points, by equi-joins on cell and slice of time; points in inside pairs are
-    taken without measuring, those in boundary pairs are measured. What is shuffled grows with the points and with the
-    result; no row meets a cell that holds nothing. Runs of points in one cell and time are split by AQE's skew join.
+    ``points``: key (unique), lat, lon, dep, t_us. The occupied cells are the regions, in two steps of coverage: coarse
+    cells with sides of ``radius`` meet their occupied neighbours by an equi-join; within those pairs the occupied cells
+    ``finer`` levels down are told apart as inside (all points near each other), boundary and far. Only the first two are
+    expanded to points, by equi-joins on cell and slice of time; points in inside pairs are taken without measuring,
+    those in boundary pairs are measured. What is shuffled grows with the points and with the result; no row meets a
+    cell that holds nothing. Runs of points in one cell and time are split by AQE's skew join.
 
     Rows with a null or NaN in any of these columns, or with lat or lon out of range, match nothing. Empty tables give no rows.
     """
-    cells, band_km = Cells.of_km(radius / split), radius / split
+    cells, scale = Cells.of_km(radius, finer + 1), 1 << finer
+    fine_km = radius / scale
     row, col = cells.row_col(F.col("lat"), F.col("lon"))
     at = points.filter("key is not null and t_us is not null and abs(lat) <= 90 and abs(lon) <= 180 and abs(dep) < 1e9").select(
-        "key", "lat", "lon", "dep", "t_us", row.alias("row"), col.alias("col"), F.floor(F.col("dep") / F.lit(band_km)).alias("band"), F.floor(F.col("t_us") / F.lit(within_us)).alias("slice")
+        "key", "lat", "lon", "dep", "t_us", row.alias("row"), col.alias("col"), F.floor(F.col("dep") / F.lit(fine_km)).alias("band"), F.floor(F.col("t_us") / F.lit(within_us)).alias("slice")
     )
-    cell = ["row", "col", "band"]
-    occupied = at.select(*cell).distinct()
+    at = durable(at)  # used four times
+    cell, up = ["row", "col", "band"], ["up_row", "up_col", "up_band"]
+    fine = at.select(*cell).distinct().select(*cell, *[F.shiftright(c, finer).alias(u) for c, u in zip(cell, up)])
+    coarse = fine.select(*[F.col(u).alias(c) for u, c in zip(up, cell)]).distinct()
     # few bytes, but each cell makes many rows: a number of tasks that AQE leaves as it is
     parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = occupied.repartition(parts, F.col("row"), F.floor(F.col("col") / F.lit(256)))
+    spread = coarse.repartition(parts, F.col("row"), F.floor(F.col("col") / F.lit(256)))
 
     def neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             pdf = pdf.sort_values("row")
             for k in range(0, len(pdf), AT_ONCE):
                 part = pdf.iloc[k : k + AT_ONCE]
-                yield neighbouring_cells(cells, radius, band_km, *(part[c].to_numpy(np.int64) for c in cell))
+                yield neighbouring_cells(cells, radius, radius, *(part[c].to_numpy(np.int64) for c in cell))
 
-    links = spread.mapInPandas(neighbours, "row long, col long, band long, b_row long, b_col long, b_band long, inside boolean")
-    b_cell = [F.col("row").alias("b_row"), F.col("col").alias("b_col"), F.col("band").alias("b_band")]
-    links = links.join(occupied.select(*b_cell), ["b_row", "b_col", "b_band"])
-    a = at.join(links, cell).withColumn("b_slice", F.explode(F.array(F.col("slice") - 1, F.col("slice"), F.col("slice") + 1)))
+    def told_apart(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            a, b = ([pdf[f"{p}{c}"].to_numpy(np.int64) for c in cell] for p in ("", "b_"))
+            near, far = distances(*cells.bounds(a[0], a[1], finer), *cells.bounds(b[0], b[1], finer))
+            up_, down = band_gap(a[2] * fine_km, (a[2] + 1) * fine_km, b[2] * fine_km, (b[2] + 1) * fine_km)
+            pdf["inside"] = np.hypot(far, down) <= radius * (1 - ROOM)
+            yield pdf[np.hypot(near, up_) <= radius * (1 + ROOM)]
+
+    links = spread.mapInPandas(neighbours, "row long, col long, band long, b_row long, b_col long, b_band long")
+    b_cell = [F.col(c).alias(f"b_{c}") for c in cell]
+    links = links.join(coarse.select(*b_cell), ["b_row", "b_col", "b_band"]).select(*[F.col(c).alias(u) for c, u in zip(cell, up)], *[F.col(f"b_{c}").alias(f"b_{u}") for c, u in zip(cell, up)])
+    a_fine, b_fine = fine, fine.select(*b_cell, *[F.col(u).alias(f"b_{u}") for u in up])
+    met = a_fine.join(links, up).join(b_fine, [f"b_{u}" for u in up])
+    # within one coarse cell each pair of fine cells comes in both orders
+    met = met.filter((F.struct(*[f"b_{u}" for u in up]) != F.struct(*up)) | (F.struct(*[f"b_{c}" for c in cell]) >= F.struct(*cell)))
+    pairs = met.select(*cell, *[f"b_{c}" for c in cell]).mapInPandas(told_apart, "row long, col long, band long, b_row long, b_col long, b_band long, inside boolean")
+
+    a = at.join(pairs, cell).withColumn("b_slice", F.explode(F.array(F.col("slice") - 1, F.col("slice"), F.col("slice") + 1)))
     b = at.select(*b_cell, F.col("slice").alias("b_slice"), *[F.col(c).alias(f"b_{c}") for c in ("key", "lat", "lon", "dep", "t_us")])
     both = a.join(b, ["b_row", "b_col", "b_band", "b_slice"])
     same = (F.col("row") == F.col("b_row")) & (F.col("col") == F.col("b_col")) & (F.col("band") == F.col("b_band"))
