@@ -157,7 +157,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, size: int = WORDS) -> DataFram
     nothing; repeated rows match once; texts of any length are searched whole; further columns are dropped.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").distinct()
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null").filter(F.length("text") >= 2 * size - 1).distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = -(-chars // ITEM_CHARS) or 1
     found = None
