@@ -110,6 +110,25 @@ def test_known_delay_and_the_lag_convention(spark):
     assert [r.kept for r in flagged.collect()] == [True, False, False, False]
 
 
+def test_differential_times_of_windows(spark):
+    rng = np.random.default_rng(9)
+    config = Config(samp_rate=10.0, win_temp_p=(0.5, 2.5), win_temp_s=(0.5, 3.5), dt_thres=(1.0, 1.5), cc_thres=0.9, scc_thres=2.0, peak_separation=0.3, num_sta=2)
+    shape = {"P": (1, 50), "S": (2, 70)}
+    windows = []
+    for station in ("N.A", "N.B", "N.C"):
+        wave = {p: rng.normal(size=(c, n + 10)) for p, (c, n) in shape.items()}
+        for k, evid in enumerate(("e1", "e2")):
+            cut = {p: wave[p][:, 3 * k : 3 * k + n].tolist() for p, (c, n) in shape.items()}
+            noise = rng.normal(size=shape["P"]).tolist()
+            windows.append((station, evid, 2.0, 4.0, True, station != "N.C", noise if station == "N.C" and k else cut["P"], cut["S"] if station != "N.C" else None))
+    df = spark.createDataFrame(windows, "station string, evid string, tp_rel float, ts_rel float, has_p boolean, has_s boolean, p_data array<array<float>>, s_data array<array<float>>")
+    asked = spark.createDataFrame([("e1", "e2", s) for s in ("N.A", "N.B", "N.C", "N.D")], "evid_a string, evid_b string, station string")
+    got = waveforms.differential_times(asked, df, config)
+    # e2's window starts three samples later on the same wave: lag +3, less the one of the convention
+    assert rows(got.select("station", "phase", "dt_u6")) == sorted([(s, p, 200000) for s in ("N.A", "N.B") for p in "PS"])
+    assert waveforms.differential_times(asked.filter("station = 'N.A'"), df, config).count() == 0  # one station only
+
+
 # cutting
 def test_cut_windows(spark):
     rate, start = 10.0, 1_000_000_000_000_000

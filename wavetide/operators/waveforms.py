@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wavetide.config import Config
 from wavetide.functions import kernels as K
 from wavetide.functions.arrays import flat
+from wavetide.operators.merge import micro_units, well_observed
 
 WINDOW = "station string, channel string, evid string, phase string, t_rel float, window array<float>"
 
@@ -158,6 +159,26 @@ def passes(dt_limit: float, cc_thres: float | None, scc_thres: float | None) ->
     return keep
 
 
+def differential_times(station_pairs: DataFrame, windows: DataFrame, config: Config) -> DataFrame:
+    """evid_a, evid_b, station, phase, dt_u6, cc_u6 of the station pairs (evid_a, evid_b, station) whose windows agree.
+
+    ``windows`` as of ``event_windows``. Two equi-joins on station and event bring both windows of a pair together, phase by
+    phase and only where both have the phase; then follow correlation, thresholds, and ``num_sta`` stations a pair.
+    """
+    found = None
+    for phase, spec in config.phases().items():
+        p = phase.lower()
+        held = windows.filter(f"has_{p}")
+        side = lambda k: held.select("station", F.col("evid").alias(f"evid_{k}"), F.col(f"t{p}_rel").alias(f"t_{k}"), F.col(f"{p}_data").alias(f"data_{k}"))  # noqa: E731, B023
+        both = station_pairs.select("evid_a", "evid_b", "station").join(side("a"), ["station", "evid_a"]).join(side("b"), ["station", "evid_b"])
+        obs = correlate(both, spec.data_npts, spec.temp_start, spec.temp_npts, config.samp_rate, spec.shift_s, config.peak_separation)
+        obs = obs.filter(passes(spec.dt_limit, config.cc_thres, config.scc_thres)).select(
+            "evid_a", "evid_b", "station", F.lit(phase).alias("phase"), micro_units(F.col("dt").cast("double")).alias("dt_u6"), micro_units(F.col("cc")).alias("cc_u6")
+        )
+        found = obs if found is None else found.unionByName(obs)
+    return well_observed(found, config.num_sta)
+
+
 def neighbours_in_time(windows: DataFrame, others: int) -> DataFrame:
     """Pairs of windows of one station, channel and phase: each with the ``others`` next events by evid."""
     along = W.partitionBy("station", "channel", "phase").orderBy("evid")

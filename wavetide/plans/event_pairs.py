@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wavetide.config import Config
@@ -183,6 +184,15 @@ def window_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def differential_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of each station's events against those of the next three events, one channel for either phase."""
+    config = SLOW.but(chn_p=(2,), chn_s=(0,), num_sta=1)
+    windows = waveforms.event_windows(_windows(spark, sf_dir), config)
+    along = W.partitionBy("station").orderBy("evid")
+    ahead = windows.select("station", F.col("evid").alias("evid_a"), F.array(*[F.lead("evid", k).over(along) for k in (1, 2, 3)]).alias("b"))
+    return waveforms.differential_times(ahead.withColumn("evid_b", F.explode("b")).filter("evid_b is not null"), windows, config)
+
+
 def vector_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vector against the next three: the template is elements 17 to 48, 32 lags."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -196,7 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         last_picks, event_ids, travel_times, cut_requests, event_records, nearest_edges, candidate_pairs, station_pairs, station_pair_counts, task_events, task_manifest, station_rows,
-        catalogue_events, catalogue_picks, named_catalogue, station_list, observations, well_observed, dt_lines, packed_observations, observation_lines, clean_traces, cut_windows, window_correlations, vector_correlations,
+        catalogue_events, catalogue_picks, named_catalogue, station_list, observations, well_observed, dt_lines, packed_observations, observation_lines, clean_traces, cut_windows, window_correlations, differential_times, vector_correlations,
     )
 }
 
