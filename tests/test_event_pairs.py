@@ -158,6 +158,31 @@ def test_cut_windows(spark):
     assert back(path).count() == 1 and back(path).filter("station = 'S'").count() == 1
 
 
+def test_windows_across_hours_equal_those_of_the_whole_trace(spark):
+    """A trace of three hours, windows at both sides of and across the hours' ends, with warm-up, filter and spline."""
+    config = Config(samp_rate=10.0, freq_band=(0.2, 2.0), win_temp_p=(0.5, 2.5), win_temp_s=(0.5, 3.5), dt_thres=(1.0, 1.5))
+    hour, rng = 3_600_000_000, np.random.default_rng(3)
+    start = 277_777 * hour + 1_234_567_000
+    traces = [("S", c, k, start, rate, rng.normal(size=int(9_000 * rate)).astype(np.float32).tolist()) for k, (c, rate) in enumerate([("EHZ", 10.0), ("EHN", 4.0)])]
+    df = spark.createDataFrame(traces, "station string, channel string, trace_id long, start_us long, rate double, data array<float>")
+    ends = [277_778 * hour + d for d in (-40_000_000, -2_000_000, 0, 700_000, 1_500_000, 2_100_000, 25_000_000)] + [277_779 * hour, start + 1_500_000, start + 1_499_999]
+    asked = [(f"e{k}", "S", at, at, None) for k, at in enumerate(ends)] + [("none", "S", start, None, None), ("no origin", "S", None, start + hour, None), ("no station", None, start, start + hour, None)]
+    got = waveforms.cut_windows(spark.createDataFrame(asked, "evid string, station string, ot_us long, tp_us long, ts_us long"), df, config).collect()
+    assert {(r.evid, r.channel) for r in got} == {(f"e{k}", c) for k in range(len(ends) - 1) for c in ("EHZ", "EHN")}
+    sos = K.butterworth(10.0, 0.2, 2.0)
+    for r in got:
+        _, _, _, _, rate, data = traces[r.channel == "EHN"]
+        first = round((ends[int(r.evid[1:])] - 1_500_000 - start) / 1e5)
+        warm = max(0, first - 200)
+        at = np.arange(warm, first + 50) * (rate / 10.0)
+        low, high = max(0, int(at[0]) - 8), min(len(data), int(np.ceil(at[-1])) + 9)
+        part = np.array(data[low:high])[None]
+        part = part[:, warm - low : first + 50 - low] if rate == 10.0 else K.interpolated(part, at - low)
+        assert np.allclose(r.window, K.filtered(part, sos)[0, first - warm :], atol=1e-6)
+    longest = waveforms.hour_pieces(df.filter("channel = 'EHZ'"), 20.0, 7.0).selectExpr("max(size(piece))", "count(*)").first()
+    assert longest[0] <= (3600 + 27) * 10 + 2 * 8 + 1 and longest[1] == 3
+
+
 # records and pairs
 def test_last_wins_and_templates(spark):
     picks = spark.createDataFrame([("e", " n.a", 1, 1, 5), ("e", "N.A", 2, None, 7), ("e", "N.B", 1, 1, 6), (None, "N.B", 1, 1, 6)], "evid string, net_sta string, tp long, ts long, line_no long")

@@ -15,13 +15,15 @@ from wavetide.functions import kernels as K
 from wavetide.functions.arrays import flat
 from wavetide.operators.merge import micro_units, well_observed
 
-WINDOW = "station string, channel string, evid string, phase string, t_rel float, window array<float>"
+HOUR_US = 3_600_000_000
+#: Samples beyond a window that its spline may use.
+PAD = 8
 
 
 def clean_traces(traces: DataFrame) -> DataFrame:
     """station, channel, trace_id, start_us, rate, data: each trace without mean and trend, tapered, non-finite samples 0.
 
-    Traces with a null start, no positive rate or no samples are left out.
+    Traces with a null start, no samples, or a rate that is not within 0.001 and 1,000,000 a second are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -32,60 +34,82 @@ def clean_traces(traces: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(np.concatenate(out).astype(np.float32)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("station", "channel", "trace_id", "start_us", "rate")), lists], ["station", "channel", "trace_id", "start_us", "rate", "data"])
 
-    usable = traces.filter("station is not null and start_us is not null and rate > 0 and rate < 1e6 and size(data) > 0")
+    usable = traces.filter("station is not null and start_us is not null and rate >= 0.001 and rate < 1e6 and size(data) > 0")
     return usable.select("station", "channel", "trace_id", "start_us", F.col("rate").cast("double").alias("rate"), "data").mapInArrow(
         run, "station string, channel string, trace_id long, start_us long, rate double, data array<float>"
     )
 
 
+def hour_pieces(traces: DataFrame, before_s: float, after_s: float) -> DataFrame:
+    """``traces`` cut by the hours (since 1970) that they touch: hour, piece, skipped (samples before the piece), npts (of
+    the trace) in place of data. A piece reaches ``before_s`` and ``after_s`` seconds beyond its hour, as far as the trace goes."""
+    hour = lambda t: F.floor(t / F.lit(HOUR_US))
+    last = F.col("start_us") + ((F.col("npts") - 1) / F.col("rate") * 1e6).cast("long")
+    sample = lambda t: (t - F.col("start_us")) / 1e6 * F.col("rate")
+    skipped = F.greatest(F.floor(sample(F.col("hour") * HOUR_US - int(before_s * 1e6))) - PAD, F.lit(0)).cast("int")
+    upto = F.least(F.ceil(sample((F.col("hour") + 1) * HOUR_US + int(after_s * 1e6))) + PAD, F.col("npts")).cast("int")
+    spread = traces.withColumn("npts", F.size("data")).withColumn("hour", F.explode(F.sequence(hour(F.col("start_us")), hour(last))))
+    kept = [c for c in traces.columns if c != "data"]
+    return spread.select(*kept, "npts", "hour", skipped.alias("skipped"), F.slice("data", skipped + 1, F.greatest(upto - skipped, F.lit(0))).alias("piece"))
+
+
 def cut_windows(requests: DataFrame, traces: DataFrame, config: Config) -> DataFrame:
     """station, channel, evid, phase, t_rel, window: the windows of all picks that lie wholly within a trace.
 
-    ``requests``: evid, station, ot_us, tp_us, ts_us; ``traces`` as of ``clean_traces``. The join is on the station and the
-    hour (a trace is listed under every hour that it touches), so it grows with the picks, not with picks times traces. Each
-    window is resampled to ``samp_rate`` by a cubic spline where the trace's rate differs, run through the band-pass with up
-    to ``warm_up_s`` seconds before it, and cropped. Of several traces of one channel that hold a window the one with the
-    smallest trace_id is taken.
+    ``requests``: evid, station, ot_us, tp_us, ts_us; ``traces`` as of ``clean_traces``. Each window is resampled to
+    ``samp_rate`` by a cubic spline where the trace's rate differs, run through the band-pass with up to ``warm_up_s`` seconds
+    before it, and cropped. Of several traces of one channel that hold a window the one with the smallest trace_id is taken.
+    Requests without a time or station give nothing.
+
+    Traces are cut into hours, each with the samples around it that its windows need, and the requests of a station are
+    listed by hour. Both meet in one equi-join, so samples are shuffled once, in pieces of bounded size, whatever the
+    number of picks; a list holds an hour's picks of one station at most.
     """
     specs = config.phases()
-    hour = 3_600_000_000
     wanted = requests.select(
         "evid", "station", "ot_us",
         F.explode(F.array(*[F.struct(F.lit(p).alias("phase"), F.col(f"t{p.lower()}_us").alias("at"), F.lit(int(s.before_s * 1e6)).alias("before"), F.lit(int(s.after_s * 1e6)).alias("after")) for p, s in specs.items()])).alias("r"),
-    ).select("evid", "station", "ot_us", "r.*").filter("at is not null")
-    wanted = wanted.withColumn("hour", F.floor((F.col("at") - F.col("before")) / F.lit(hour)))
-    last = F.col("start_us") + ((F.size("data") - 1) / F.col("rate") * 1e6).cast("long")
-    spread = traces.withColumn("end_us", last).withColumn("hour", F.explode(F.sequence(F.floor(F.col("start_us") / F.lit(hour)), F.floor(F.col("end_us") / F.lit(hour)))))
-    held = spread.join(wanted, ["station", "hour"]).filter("at - before >= start_us and at + after <= end_us")
+    ).select("evid", "station", "ot_us", "r.*").filter("at is not null and ot_us is not null")
+    begin = (F.col("at") - F.col("before")).alias("begin")
+    ask = F.struct("evid", "phase", ((F.col("at") - F.col("ot_us")) / 1e6).cast("float").alias("t_rel"), begin, (F.col("at") + F.col("after")).alias("end"))
+    asked = wanted.groupBy("station", F.floor(begin / F.lit(HOUR_US)).alias("hour")).agg(F.collect_list(ask).alias("asks"))
+    after = max(s.before_s + s.after_s for s in specs.values())
+    held = hour_pieces(traces, config.warm_up_s, after).join(asked, ["station", "hour"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sos = K.butterworth(config.samp_rate, *config.freq_band)
         for batch in batches:
-            rows = batch.select(["start_us", "rate", "phase", "at", "before"]).to_pylist()
-            values, lengths = flat(batch.column("data"))
-            windows = [_cut(x, r, specs[r["phase"]].data_npts, config, sos) for x, r in zip(np.split(values, np.cumsum(lengths)[:-1]), rows)]
-            keep = pa.array([w is not None for w in windows])
-            kept = [w.astype(np.float32) for w in windows if w is not None]
-            lists = pa.array(kept, pa.list_(pa.float32()))
-            cols = [batch.column(c).filter(keep) for c in ("station", "channel", "evid", "phase", "t_rel", "trace_id")]
-            yield pa.RecordBatch.from_arrays([*cols, lists], ["station", "channel", "evid", "phase", "t_rel", "trace_id", "window"])
-
-    cut = held.select("station", "channel", "evid", "phase", ((F.col("at") - F.col("ot_us")) / 1e6).cast("float").alias("t_rel"), "trace_id", "start_us", "rate", "at", "before", "data").mapInArrow(
-        run, WINDOW.replace(", window", ", trace_id long, window")
+            values, lengths = flat(batch.column("piece"))
+            rows = batch.select(["start_us", "rate", "npts", "skipped", "asks"]).to_pylist()
+            got = []
+            for k, (piece, row) in enumerate(zip(np.split(values, np.cumsum(lengths)[:-1]), rows)):
+                for ask in row["asks"]:
+                    window = _cut(piece, row, ask, specs[ask["phase"]].data_npts, config, sos)
+                    if window is not None:
+                        got.append((k, ask["evid"], ask["phase"], ask["t_rel"], window.astype(np.float32)))
+            of, evid, phase, t_rel, windows = zip(*got) if got else [()] * 5
+            of = pa.array(of, pa.int64())
+            cols = [*(batch.column(c).take(of) for c in ("station", "channel", "trace_id")), pa.array(evid, pa.string()), pa.array(phase, pa.string()), pa.array(t_rel, pa.float32())]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(list(windows), pa.list_(pa.float32()))], ["station", "channel", "trace_id", "evid", "phase", "t_rel", "window"])
+
+    cut = held.select("station", "channel", "trace_id", "start_us", "rate", "npts", "skipped", "piece", "asks").mapInArrow(
+        run, "station string, channel string, trace_id long, evid string, phase string, t_rel float, window array<float>"
     )
     return cut.groupBy("station", "channel", "evid", "phase").agg(F.min_by(F.struct("t_rel", "window"), "trace_id").alias("w")).select("station", "channel", "evid", "phase", "w.*")
 
 
-def _cut(trace: np.ndarray, request: dict, npts: int, config: Config, sos: np.ndarray) -> np.ndarray | None:
-    rate = config.samp_rate
-    first = int(np.rint((request["at"] - request["before"] - request["start_us"]) / 1e6 * rate))
+def _cut(piece: np.ndarray, trace: dict, ask: dict, npts: int, config: Config, sos: np.ndarray) -> np.ndarray | None:
+    rate, last = config.samp_rate, trace["start_us"] + int((trace["npts"] - 1) / trace["rate"] * 1e6)
+    if ask["begin"] < trace["start_us"] or ask["end"] > last:
+        return None
+    first = int(np.rint((ask["begin"] - trace["start_us"]) / 1e6 * rate))
     warm = max(0, first - int(config.warm_up_s * rate))
-    at = np.arange(warm, first + npts) * (request["rate"] / rate)
-    if at[-1] > len(trace) - 1 + 1e-9:
+    at = np.arange(warm, first + npts) * (trace["rate"] / rate)
+    if at[-1] > trace["npts"] - 1 + 1e-9:
         return None
-    low, high = max(0, int(at[0]) - 8), min(len(trace), int(np.ceil(at[-1])) + 9)
-    part = trace[low:high]
-    part = part[warm - low : first + npts - low] if request["rate"] == rate else K.interpolated(part[None], np.minimum(at - low, len(part) - 1))[0]
+    low, high = max(0, int(at[0]) - PAD), min(trace["npts"], int(np.ceil(at[-1])) + PAD + 1)
+    part = piece[low - trace["skipped"] : high - trace["skipped"]]
+    part = part[warm - low : first + npts - low] if trace["rate"] == rate else K.interpolated(part[None], np.minimum(at - low, len(part) - 1))[0]
     return K.filtered(part[None], sos)[0, first - warm :]
 
 

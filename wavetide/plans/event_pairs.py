@@ -264,6 +264,11 @@ nos AS (SELECT station, CAST(row_number() OVER (ORDER BY station) - 1 AS BIGINT)
 x AS (SELECT a.ord AS ea, b.ord AS eb, no, phase, dt_u6, cc_u6 FROM obs JOIN q a ON a.evid = evid_a JOIN q b ON b.evid = evid_b JOIN nos USING (station))
 SELECT ((ea << 20) | eb) << 11 | (no << 1) | CASE WHEN phase = 'S' THEN 1 ELSE 0 END AS key, ea AS event_a, eb AS event_b, no AS station_no, phase, dt_u6, cc_u6 FROM x""",
     "observation_lines": f"WITH {_OBS} SELECT CAST(evid_a AS BIGINT) AS evid_a, CAST(evid_b AS BIGINT) AS evid_b, station, phase, dt_u6, cc_u6 FROM obs",
+    "cut_windows": f"""WITH {_Q}, {_LP}, asks AS (SELECT evid, station, unnest([struct_pack(phase := 'P', at_us := tp_us, b := tp_us - 1500000, e := tp_us + 3500000, npts := 50),
+  struct_pack(phase := 'S', at_us := ts_us, b := ts_us - 2000000, e := ts_us + 5000000, npts := 70)]) AS k, ot_us FROM lp JOIN q USING (evid) WHERE ot_us IS NOT NULL),
+tr AS (SELECT {CODE.format("station")} AS station, channel, epoch_us(starttime) AS a, sampling_rate AS rate, len(data) AS n FROM traces WHERE starttime IS NOT NULL AND sampling_rate >= 0.001 AND sampling_rate < 1e6 AND len(data) > 0)
+SELECT DISTINCT station, channel, evid, k.phase AS phase, CAST((k.at_us - ot_us) / 1e6 AS FLOAT) AS t_rel, CAST(k.npts AS INTEGER) AS npts FROM asks JOIN tr USING (station)
+  WHERE k.b >= a AND k.e <= a + CAST(trunc((n - 1) / rate * 1e6) AS BIGINT) AND (round_even((k.b - a) / 1e6 * 10, 0) + k.npts - 1) * (rate / 10) <= n - 1 + 1e-9""",
     "vector_correlations": """WITH p AS (SELECT a.vec_id, b.vec_id AS other, a.embedding AS x, b.embedding AS y FROM embeddings a JOIN embeddings b ON b.vec_id - a.vec_id BETWEEN 1 AND 3),
 g AS (SELECT vec_id, other, lag, x[lag + 1 + i]::DOUBLE AS u, y[16 + i]::DOUBLE AS v FROM p, generate_series(0, 31) l(lag), generate_series(1, 32) k(i)),
 c AS (SELECT vec_id, other, lag, abs(coalesce(corr(u, v), 0)) AS cc FROM g GROUP BY ALL),
