@@ -11,7 +11,7 @@ from wavetide.config import Config
 from wavetide.functions import kernels as K
 from wavetide.functions.columns import centisecond_id
 from wavetide.operators import merge, pairs, records, waveforms
-from wavetide.sources import catalog, mseed, sinks
+from wavetide.sources import catalog, mseed, packed, sinks
 
 
 def rows(df):
@@ -129,6 +129,32 @@ def test_differential_times_of_windows(spark):
     assert waveforms.differential_times(asked.filter("station = 'N.A'"), df, config).count() == 0  # one station only
 
 
+# the packed form
+def test_packed_files(spark, tmp_path):
+    def stored(x):
+        return abs(x) | (x < 0) << 31
+
+    told = [(0, 0, 0), (1, -1, 1_000_000), ((1 << 51) - 1, 2147483647, -2147483647), (1, -1, 1_000_000)]
+    (tmp_path / "a.bin").write_bytes(b"".join(struct.pack("<QII", k, stored(d), stored(c)) for k, d, c in told))
+    (tmp_path / "b.bin").write_bytes(b"")
+    assert rows(packed.read_packed(spark, str(tmp_path))) == sorted(told, key=repr)
+    df = spark.createDataFrame(told, "key long, dt_u6 int, cc_u6 int")
+    assert b"".join(sorted(bytes(r.content) for r in packed.pack(df.coalesce(1)).collect())) == (tmp_path / "a.bin").read_bytes()
+    assert packed.unpack(packed.pack(df.filter("false"))).count() == 0
+    assert packed.unpack(spark.createDataFrame([(None,)], "content binary")).count() == 0
+    with pytest.raises(Exception, match="multiple of 16"):
+        packed.unpack(spark.createDataFrame([(b"x" * 17,)], "content binary")).collect()
+    with pytest.raises(Exception, match="without key"):
+        packed.pack(spark.createDataFrame([(1, None, 2)], "key long, dt_u6 int, cc_u6 int")).collect()
+
+
+@pytest.mark.parametrize("at", [(1 << 20, 1, 0), (1, -1, 0), (1, 2, 1 << 10)])
+def test_a_number_without_room_in_the_key_is_an_error(spark, at):
+    df = spark.createDataFrame([at], "a long, b long, s long")
+    with pytest.raises(Exception, match="no room in the key"):
+        df.select(merge.packed(F.col("a"), F.col("b"), F.col("s"), F.lit("P"))).collect()
+
+
 # cutting
 def test_cut_windows(spark):
     rate, start = 10.0, 1_000_000_000_000_000

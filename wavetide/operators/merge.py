@@ -19,9 +19,13 @@ def micro_units(x: Column) -> Column:
 
 
 def packed(a: Column, b: Column, station: Column, phase: Column) -> Column:
-    """One long of event a, event b, station number and phase (P 0, S 1)."""
-    return F.shiftleft(F.shiftleft(a.cast("long"), EVENT_BITS).bitwiseOR(b.cast("long")), STATION_BITS + 1).bitwiseOR(
-        F.shiftleft(station.cast("long"), 1).bitwiseOR(F.when(phase == "S", F.lit(1)).otherwise(F.lit(0)).cast("long"))
+    """One long of event a, event b, station number and phase (P 0, S 1). A number that has no room is an error."""
+
+    def held(x: Column, bits: int) -> Column:
+        return F.when(x.isNull() | x.between(0, (1 << bits) - 1), x.cast("long")).otherwise(F.raise_error(F.concat(F.lit("no room in the key: "), x.cast("string"))).cast("long"))
+
+    return F.shiftleft(F.shiftleft(held(a, EVENT_BITS), EVENT_BITS).bitwiseOR(held(b, EVENT_BITS)), STATION_BITS + 1).bitwiseOR(
+        F.shiftleft(held(station, STATION_BITS), 1).bitwiseOR(F.when(phase == "S", F.lit(1)).otherwise(F.lit(0)).cast("long"))
     )
 
 

@@ -12,7 +12,7 @@ from wavetide.config import Config
 from wavetide.functions.columns import day_key, micros, station_code
 from wavetide.operators import merge, pairs, records, waveforms
 from wavetide.plans.problems import CODE
-from wavetide.sources import catalog
+from wavetide.sources import catalog, packed
 from wavetide.sources.tables import latest_quakes, quake_places, station_places, table
 
 #: A wide network: four common stations within 300 km; events of magnitude 0.5 on are templates.
@@ -110,7 +110,7 @@ def catalogue_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def named_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     quakes = _quakes(spark, sf_dir).filter("ot is not null").select(F.concat_ws("_", "evid", "waveform_id").alias("evid"), micros(F.col("ot")).alias("ot_us"), "lat", "lon", "dep", "mag")
-    events, _ = catalog.parse_named_catalogue(catalog.catalogue_lines(quakes, quakes.limit(0).selectExpr("evid", "'' as station", "ot_us as tp_us", "ot_us as ts_us", "ot_us as line_no")), 1_073_433_600_000_000, 1_074_211_200_000_000)
+    events, _ = catalog.parse_named_catalogue(catalog.catalogue_lines(quakes, quakes.filter("false").selectExpr("evid", "'' as station", "ot_us as tp_us", "ot_us as ts_us", "ot_us as line_no")), 1_073_433_600_000_000, 1_074_211_200_000_000)
     return events.select("evid", "name", "ot_us")
 
 
@@ -139,12 +139,20 @@ def dt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.dt_lines(well_observed(spark, sf_dir))
 
 
-def packed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = observations(spark, sf_dir).join(catalog.station_numbers(station_places(table(spark, sf_dir, "stations"))), "station")
     index = _quakes(spark, sf_dir).select("evid", "ord")
     side = lambda k: index.select(F.col("evid").alias(f"evid_{k}"), F.col("ord").alias(f"ord_{k}"))
-    keyed = obs.join(side("a"), "evid_a").join(side("b"), "evid_b").select(merge.packed(F.col("ord_a"), F.col("ord_b"), F.col("station_no"), F.col("phase")).alias("key"), "dt_u6", "cc_u6")
-    return keyed.select("key", *merge.unpacked(F.col("key")), "dt_u6", "cc_u6")
+    return obs.join(side("a"), "evid_a").join(side("b"), "evid_b").select(merge.packed(F.col("ord_a"), F.col("ord_b"), F.col("station_no"), F.col("phase")).alias("key"), "dt_u6", "cc_u6")
+
+
+def packed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir).select("key", *merge.unpacked(F.col("key")), "dt_u6", "cc_u6")
+
+
+def packed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations in their binary form and read back."""
+    return packed.unpack(packed.pack(_packed(spark, sf_dir))).select("key", *merge.unpacked(F.col("key")), "dt_u6", "cc_u6")
 
 
 def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +214,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         last_picks, event_ids, travel_times, cut_requests, event_records, nearest_edges, candidate_pairs, station_pairs, station_pair_counts, task_events, task_manifest, station_rows,
-        catalogue_events, catalogue_picks, named_catalogue, station_list, observations, well_observed, dt_lines, packed_observations, observation_lines, clean_traces, cut_windows, window_correlations, differential_times, vector_correlations,
+        catalogue_events, catalogue_picks, named_catalogue, station_list, observations, well_observed, dt_lines, packed_observations, packed_records, observation_lines, clean_traces, cut_windows, window_correlations, differential_times, vector_correlations,
     )
 }
 
@@ -278,3 +286,4 @@ med AS (SELECT vec_id, other, quantile_disc(cc, 0.5) AS med FROM far GROUP BY AL
 mad AS (SELECT vec_id, other, any_value(med) AS med, quantile_disc(abs(cc - med), 0.5) AS mad FROM far JOIN med USING (vec_id, other) GROUP BY ALL)
 SELECT vec_id, other, CAST(round_even(cc * 1e6, 0) AS INTEGER) AS cc_u6, CAST(lag AS INTEGER) AS lag, CAST(round_even((cc - med) / mad * 1e3, 0) AS INTEGER) AS scc_e3, CAST(vec_id % 5 - 16 + lag - other % 5 AS INTEGER) AS dt FROM m JOIN mad USING (vec_id, other)""",
 }
+SQL["packed_records"] = SQL["packed_observations"]
