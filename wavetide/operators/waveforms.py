@@ -7,13 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wavetide.config import Config
 from wavetide.functions import kernels as K
 from wavetide.functions.arrays import flat
 from wavetide.operators.merge import micro_units, well_observed
+from wavetide.session import durable
 
 HOUR_US = 3_600_000_000
 #: Samples beyond a window that its spline may use.
@@ -183,11 +183,11 @@ def passes(dt_limit: float, cc_thres: float | None, scc_thres: float | None) ->
     return keep
 
 
-def differential_times(station_pairs: DataFrame, windows: DataFrame, config: Config) -> DataFrame:
+def correlated_times(station_pairs: DataFrame, windows: DataFrame, config: Config) -> DataFrame:
     """evid_a, evid_b, station, phase, dt_u6, cc_u6 of the station pairs (evid_a, evid_b, station) whose windows agree.
 
     ``windows`` as of ``event_windows``. Two equi-joins on station and event bring both windows of a pair together, phase by
-    phase and only where both have the phase; then follow correlation, thresholds, and ``num_sta`` stations a pair.
+    phase and only where both have the phase; then follow correlation and thresholds.
     """
     found = None
     for phase, spec in config.phases().items():
@@ -200,12 +200,17 @@ def differential_times(station_pairs: DataFrame, windows: DataFrame, config: Con
             "evid_a", "evid_b", "station", F.lit(phase).alias("phase"), micro_units(F.col("dt").cast("double")).alias("dt_u6"), micro_units(F.col("cc")).alias("cc_u6")
         )
         found = obs if found is None else found.unionByName(obs)
-    return well_observed(found, config.num_sta)
+    return found
+
+
+def differential_times(station_pairs: DataFrame, windows: DataFrame, config: Config) -> DataFrame:
+    """``correlated_times`` of the pairs of events that agree at ``num_sta`` stations at least."""
+    return well_observed(durable(correlated_times(station_pairs, windows, config)), config.num_sta)
 
 
-def neighbours_in_time(windows: DataFrame, others: int) -> DataFrame:
-    """Pairs of windows of one station, channel and phase: each with the ``others`` next events by evid."""
-    along = W.partitionBy("station", "channel", "phase").orderBy("evid")
-    ahead = F.array(*[F.lead(F.struct("evid", "t_rel", "window"), k).over(along) for k in range(1, others + 1)])
-    both = windows.withColumn("ahead", ahead).withColumn("b", F.explode("ahead")).filter("b is not null")
-    return both.select("station", "channel", "phase", F.col("evid").alias("evid_a"), F.col("b.evid").alias("evid_b"), F.col("t_rel").alias("t_a"), F.col("b.t_rel").alias("t_b"), F.array("window").alias("data_a"), F.array("b.window").alias("data_b"))
+def paired_windows(station_pairs: DataFrame, windows: DataFrame) -> DataFrame:
+    """The windows of both events of each station pair (evid_a, evid_b, station), phase by phase and channel by channel."""
+    key = F.struct("channel", "phase").alias("key")  # equal also where the channel is null
+    side = lambda k: windows.select("station", key, F.col("evid").alias(f"evid_{k}"), F.col("t_rel").alias(f"t_{k}"), F.array("window").alias(f"data_{k}"))
+    both = station_pairs.select("evid_a", "evid_b", "station").join(side("a"), ["station", "evid_a"]).join(side("b"), ["station", "key", "evid_b"])
+    return both.select("station", "key.*", "evid_a", "evid_b", "t_a", "t_b", "data_a", "data_b")

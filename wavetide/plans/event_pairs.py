@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wavetide.config import Config
 from wavetide.functions.columns import day_key, micros, station_code
 from wavetide.operators import merge, pairs, records, waveforms
 from wavetide.plans.problems import CODE
+from wavetide.session import durable
 from wavetide.sources import catalog, packed
 from wavetide.sources.tables import latest_quakes, quake_places, station_places, table
 
@@ -21,6 +21,8 @@ CONFIG = Config(temp_mag=0.5, num_sta=4, dist_thres=300.0)
 FEW = CONFIG.but(max_nbr=10)
 #: Slow digitizers: windows of seconds instead of tenths, channels taken one by one.
 SLOW = Config(samp_rate=10.0, freq_band=(0.2, 2.0), win_temp_p=(0.5, 2.5), win_temp_s=(0.5, 3.5), dt_thres=(1.0, 1.5), cc_thres=0.3, scc_thres=1.0, peak_separation=0.3, warm_up_s=10.0)
+#: The windows of SLOW under the gates of CONFIG.
+CHAIN = SLOW.but(temp_mag=CONFIG.temp_mag, num_sta=CONFIG.num_sta, dist_thres=CONFIG.dist_thres)
 
 
 def _quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,9 +174,22 @@ def clean_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean(spark, sf_dir).select("trace_id", "station", F.size("data").alias("npts"), F.round(F.sqrt(size / F.size("data")), 3).alias("rms"))
 
 
-def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _picked(spark: SparkSession, sf_dir: str) -> DataFrame:
     origins = _quakes(spark, sf_dir).filter("ot is not null").select("evid", micros(F.col("ot")).alias("ot_us"))
-    return waveforms.cut_windows(last_picks(spark, sf_dir).join(origins, "evid"), _clean(spark, sf_dir), SLOW)
+    return last_picks(spark, sf_dir).join(origins, "evid")
+
+
+def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return waveforms.cut_windows(_picked(spark, sf_dir), _clean(spark, sf_dir), SLOW)
+
+
+def _paired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All station pairs, and the windows of the events that one of them names at its station; both are stored, as each
+    phase and each side of a pair reads them."""
+    pairs_ = durable(station_pairs(spark, sf_dir))
+    named = pairs_.select("station", F.explode(F.array("evid_a", "evid_b")).alias("evid")).distinct()
+    asked = _picked(spark, sf_dir).join(named, ["station", "evid"], "left_semi")
+    return pairs_, durable(waveforms.cut_windows(asked, _clean(spark, sf_dir), SLOW))
 
 
 def cut_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,23 +197,30 @@ def cut_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = _windows(spark, sf_dir)
+    """All windows of the station pairs, one channel at a time; ``kept`` marks what passes the thresholds."""
+    near = waveforms.paired_windows(*_paired(spark, sf_dir))
     out = None
     for p, spec in SLOW.phases().items():
-        near = waveforms.neighbours_in_time(cut.filter(F.col("phase") == p), 3)
-        obs = waveforms.correlate(near, spec.data_npts, spec.temp_start, spec.temp_npts, SLOW.samp_rate, spec.shift_s, SLOW.peak_separation)
+        obs = waveforms.correlate(near.filter(F.col("phase") == p), spec.data_npts, spec.temp_start, spec.temp_npts, SLOW.samp_rate, spec.shift_s, SLOW.peak_separation)
         obs = obs.withColumn("kept", waveforms.passes(spec.dt_limit, SLOW.cc_thres, SLOW.scc_thres))
         out = obs if out is None else out.unionByName(obs)
     return out
 
 
+def correlated_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the station pairs' windows give, before the number of stations is asked for."""
+    told, windows = _paired(spark, sf_dir)
+    return waveforms.correlated_times(told, waveforms.event_windows(windows, CHAIN), CHAIN)
+
+
 def differential_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of each station's events against those of the next three events, one channel for either phase."""
-    config = SLOW.but(chn_p=(2,), chn_s=(0,), num_sta=1)
-    windows = waveforms.event_windows(_windows(spark, sf_dir), config)
-    along = W.partitionBy("station").orderBy("evid")
-    ahead = windows.select("station", F.col("evid").alias("evid_a"), F.array(*[F.lead("evid", k).over(along) for k in (1, 2, 3)]).alias("b"))
-    return waveforms.differential_times(ahead.withColumn("evid_b", F.explode("b")).filter("evid_b is not null"), windows, config)
+    """Near pairs, their common stations, correlated windows (P on one channel, S on two), ``num_sta`` stations a pair."""
+    told, windows = _paired(spark, sf_dir)
+    return waveforms.differential_times(told, waveforms.event_windows(windows, CHAIN), CHAIN)
+
+
+def differential_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.dt_lines(differential_times(spark, sf_dir))
 
 
 def vector_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +236,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         last_picks, event_ids, travel_times, cut_requests, event_records, nearest_edges, candidate_pairs, station_pairs, station_pair_counts, task_events, task_manifest, station_rows,
-        catalogue_events, catalogue_picks, named_catalogue, station_list, observations, well_observed, dt_lines, packed_observations, packed_records, observation_lines, clean_traces, cut_windows, window_correlations, differential_times, vector_correlations,
+        catalogue_events, catalogue_picks, named_catalogue, station_list, observations, well_observed, dt_lines, packed_observations, packed_records, observation_lines, clean_traces, cut_windows, window_correlations, correlated_times, differential_times, differential_lines, vector_correlations,
     )
 }
 
