@@ -16,7 +16,7 @@ SECOND = 1_000_000
 #: Slots of one block; gaps are imputed block by block, so no task holds a whole series.
 BLOCK = 512
 #: Length of the embedded windows, components kept, rounds at most, and change (in standard deviations) that ends them.
-WINDOW, RANK, ROUNDS, CHANGE = 24, 3, 12, 0.01
+WINDOW, RANK, ROUNDS, CHANGE = 24, 3, 200, 1e-6
 SOURCE = ("station", "channel", "date")
 #: Samples handled at a time within a task.
 SAMPLES = 1_000_000
@@ -54,17 +54,22 @@ def slot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def impute(x: np.ndarray, known: np.ndarray, window: int = WINDOW, rank: int = RANK, rounds: int = ROUNDS, change: float = CHANGE) -> np.ndarray:
     """Iterative singular-spectrum imputation of each row of ``x`` (rows, slots); ``known`` marks what stays as it is.
 
-    ``x`` holds a first guess at the unknown places. Each round embeds the series in a Hankel matrix of windows, keeps
-    its ``rank`` leading singular vectors, averages the anti-diagonals and takes those values for the unknown places.
+    ``x`` holds a first guess at the unknown places. Each round embeds the series in a Hankel matrix of windows and keeps
+    its ``rank`` leading singular vectors. Replacing the unknown places by the averaged anti-diagonals of the projection,
+    again and again, comes to rest where they equal those averages; with the vectors held, that is a linear system, so
+    each round solves it instead of creeping there. It ends once no place moves by more than ``change`` spreads.
     """
     x = x.copy()
     n = x.shape[1]
     k = n - window + 1
-    cover = np.minimum(np.minimum(np.arange(1, n + 1), np.arange(n, 0, -1)), min(window, k))
     held = known.sum(1)
     centre = np.where(held > 0, np.where(known, x, 0).sum(1) / np.maximum(held, 1), 0)[:, None]
     spread = np.sqrt(np.where(known, (x - centre) ** 2, 0).sum(1) / np.maximum(held, 1))
     todo = np.flatnonzero((held >= 2) & (held < n) & (spread > 0))
+    # entry (s, s + d) of the system sums the entries (j, j + d) of the rest's projector over the windows that hold both
+    slot, d = np.arange(n)[:, None], np.arange(window)
+    first, last = np.maximum(0, slot - k + 1), np.minimum(window - 1 - d, slot)
+    first, last = np.minimum(first, last + 1), last + 1
     for _ in range(rounds):
         if not len(todo):
             break
@@ -72,17 +77,62 @@ def impute(x: np.ndarray, known: np.ndarray, window: int = WINDOW, rank: int = R
         hankel = np.lib.stride_tricks.sliding_window_view(y, window, axis=1)
         _, vectors = np.linalg.eigh(np.matmul(hankel.transpose(0, 2, 1), hankel))
         lead = vectors[:, :, -rank:]
-        low = np.matmul(np.matmul(hankel, lead), lead.transpose(0, 2, 1))
-        smooth = np.zeros_like(y)
+        rest = hankel - np.matmul(np.matmul(hankel, lead), lead.transpose(0, 2, 1))
+        slope = np.zeros_like(y)
         for j in range(window):
-            smooth[:, j : j + k] += low[:, :, j]
-        new = np.where(known[todo], x[todo], smooth / cover + centre[todo])
-        moved = np.abs(new - x[todo]).max(1)
-        x[todo] = new
+            slope[:, j : j + k] += rest[:, :, j]
+        projector = np.eye(window) - np.matmul(lead, lead.transpose(0, 2, 1))
+        sums = np.zeros((len(todo), window, window + 1))
+        for j in range(window):
+            sums[:, j, 1 : window - j + 1] = np.cumsum(np.diagonal(projector, j, 1, 2), 1)
+        band = sums[:, d, last] - sums[:, d, first]
+        step = np.zeros_like(y)
+        blocks = -(-(n - held[todo]) // window)
+        for size in np.unique(blocks):
+            of = np.flatnonzero(blocks == size)
+            step[of] = _banded_solution(band[of], ~known[todo[of]], slope[of], int(size))
+        x[todo] -= step
+        moved = np.abs(step).max(1)
         todo = todo[moved > change * spread[todo]]
     return x
 
 
+def _banded_solution(band: np.ndarray, unknown: np.ndarray, right: np.ndarray, blocks: int) -> np.ndarray:
+    """Per row the solution of the symmetric banded system ``band`` (rows, slots, distance) held to its ``unknown`` slots, 0
+    elsewhere: elimination by blocks as large as the band is wide, so a system of any size takes time linear in it."""
+    rows, n, width = band.shape
+    row, slot = np.nonzero(unknown)
+    at = np.arange(len(row)) - np.concatenate([[0], np.cumsum(unknown.sum(1))[:-1]])[row]
+    gaps = np.tile(n + 2 * width * np.arange(1, blocks * width + 1), (rows, 1))  # places beyond the last: apart from all
+    gaps[row, at] = slot
+    gaps = gaps.reshape(rows, blocks, width)
+    b = np.zeros((rows, blocks, width))
+    b.reshape(rows, -1)[row, at] = right[row, slot]
+    which = np.arange(rows)[:, None, None, None]
+
+    def part(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        apart = np.abs(p[..., :, None] - q[..., None, :])
+        low = np.minimum(p[..., :, None], q[..., None, :])
+        near = (apart < width) & (low < n)
+        return np.where(near, band[which, np.minimum(low, n - 1), np.minimum(apart, width - 1)], 0.0)
+
+    main, upper = part(gaps, gaps), part(gaps[:, :-1], gaps[:, 1:])
+    i = np.arange(width)
+    main[..., i, i] += np.where(gaps < n, 1e-12 * (1 + band[:, :, 0].max(1))[:, None, None], 1.0)
+    for k in range(1, blocks):
+        carry = np.linalg.solve(main[:, k - 1], np.concatenate([upper[:, k - 1], b[:, k - 1, :, None]], -1))
+        back = upper[:, k - 1].transpose(0, 2, 1)
+        main[:, k] -= back @ carry[..., :-1]
+        b[:, k] -= (back @ carry[..., -1:])[..., 0]
+    for k in range(blocks - 1, -1, -1):
+        if k < blocks - 1:
+            b[:, k] -= (upper[:, k] @ b[:, k + 1, :, None])[..., 0]
+        b[:, k] = np.linalg.solve(main[:, k], b[:, k, :, None])[..., 0]
+    out = np.zeros((rows, n))
+    out[row, slot] = b.reshape(rows, -1)[row, at]
+    return out
+
+
 def fill_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each block's slots with a value each: known ones as read, the others imputed and marked."""
     for whole in batches:
