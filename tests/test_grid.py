@@ -30,3 +30,13 @@ def test_result_is_at_rest_under_plain_replacement():
     means = [np.mean(low[::-1].diagonal(s - len(low) + 1)) for s in range(len(t))]
     assert np.abs(np.array(means) + centre - full[0])[~known[0]].max() < 1e-4
     assert (full[known] == x[known]).all()
+
+
+def test_line_over_a_silent_block_ends_at_the_slots_means(spark):
+    """Two rows share the edge slot on each side: means 2 and 6."""
+    b = 3 * grid.BLOCK
+    at = lambda slot, v: ("A", "Z", "d", slot * grid.SECOND, 1.0, [v])
+    told = [at(0, 1.0), at(0, 3.0), at(b, 9.0), at(b, 3.0)]
+    df = spark.createDataFrame(told, "station string, channel string, date string, start_us long, rate double, data array<float>").repartition(4)
+    got = {r.slot: r.value for r in grid.regular_series(df).collect()}
+    assert len(got) == b + 1 and all(abs(v - (2 + 4 * s / b)) < 1e-9 for s, v in got.items())

@@ -176,7 +176,8 @@ def regular_series(readings: DataFrame) -> DataFrame:
 
     ``readings``: station, channel, date, start_us, rate, data; sample i is read at start_us + i / rate seconds. A source
     is one station, channel and date. A slot with readings holds their mean; one without is ``filled`` by iterative
-    singular-spectrum imputation, which starts from the line between the neighbouring readings.
+    singular-spectrum imputation, which starts from the line between the neighbouring readings. In a block with fewer than
+    two slots read, or without spread, that line stays.
 
     A null, NaN or infinite sample, and a row without station, start or positive rate, gives no reading; null channel or
     date make a source of their own; repeated and overlapping rows enter the same slots; a source without readings, and
@@ -201,8 +202,8 @@ def regular_series(readings: DataFrame) -> DataFrame:
         .select("src", "block", F.col("read.slot").alias("slots"), F.col("read.mean").alias("means"))
     )
     along = W.partitionBy("src").orderBy("block")
-    edge = lambda k: F.struct((F.col("block") * BLOCK + F.element_at("slots", k)).alias("slot"), (F.element_at("totals", k) / F.element_at("ns", k)).alias("mean"))
-    ends = sums.groupBy("src", "block").agg(F.min(edge(1)).alias("first"), F.max(edge(-1)).alias("last"))
+    edge = lambda k: F.struct(F.element_at("slots", k).alias("slot"), F.element_at("means", k).alias("mean"))
+    ends = blocks.select("src", "block", edge(1).alias("first"), edge(-1).alias("last"))
     ends = ends.select("src", "block", "last", F.lag("last").over(along).alias("prev"), F.lead("first").over(along).alias("next"))
     ends = ends.select("src", "block", *[F.col(f"{x}.{y}").alias(f"{x}_{y}") for x in ("last", "prev", "next") for y in ("slot", "mean")])
     following = F.floor(F.col("next_slot") / F.lit(BLOCK))
