@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+import wavetide  # noqa: E402, F401 - before NumPy
+
 DATA = "/root/testdata"
 
 

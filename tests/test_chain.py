@@ -2,9 +2,13 @@
 
 import numpy as np
 import pytest
+from mseed_files import mseed_record
 from pyspark.sql import functions as F
 
+from wavetide.config import Config
+from wavetide.operators import waveforms
 from wavetide.plans import event_pairs
+from wavetide.sources import mseed
 
 SECOND, DAY = 1_000_000, 86_400_000_000
 START = 1_073_433_600 * SECOND
@@ -53,3 +57,35 @@ def test_chain_correlates_the_near_pairs(spark, tables):
     assert event_pairs.correlated_times(spark, tables).count() == len(times)
     (line,) = event_pairs.differential_lines(spark, tables).collect()
     assert line.block.startswith("# %9d %9d 0.0\n" % (1, 5)) and line.block.count("\n") == len(times)
+
+
+def test_from_waveform_files_to_times(spark, tmp_path):
+    """Two events 60 s apart, the second one's waves 0.2 s later after its origin; four stations with three files a day, a fifth with two,
+    a sixth with a gap in one file."""
+    rng, rate = np.random.default_rng(2), 20
+    day = tmp_path / "20180815"
+    day.mkdir()
+    start = 1_534_294_920_500_000  # of a record at 01:02:00.5
+    for k, code in enumerate("ABCDEF"):
+        for channel in ("EHE", "EHN", "EHZ"):
+            if (code, channel) == ("E", "EHN"):
+                continue
+            wave = np.cumsum(rng.integers(-2000, 2000, 200))
+            x = rng.integers(-30, 30, 120 * rate)
+            x[20 * rate : 30 * rate] += wave
+            x[80 * rate + 4 : 90 * rate + 4] += wave
+            pieces = [mseed_record(x[i : i + 400].tolist(), 11, (i // rate) % 60, rate, code, channel, 2 + i // rate // 60) for i in range(0, len(x), 400)]
+            if (code, channel) == ("F", "EHZ"):
+                del pieces[3]
+            (day / f"NN.{code}.{channel}.mseed").write_bytes(b"".join(pieces))
+    days = mseed.station_day_traces(spark, str(tmp_path))
+    assert {(r.station, r.channel, len(r.data), r.start_us) for r in days.collect()} == {(f"NN.{c}", ch, 2400, start) for c in "ABCD" for ch in ("EHE", "EHN", "EHZ")}
+    asked = [(e, f"NN.{c}", start + at * SECOND, start + (at + 22) * SECOND, start + (at + 26) * SECOND) for e, at in (("1", 0), ("2", 60)) for c in "ABCDEF"]
+    picks = spark.createDataFrame(asked, "evid string, station string, ot_us long, tp_us long, ts_us long")
+    config = Config(samp_rate=20.0, freq_band=(0.5, 5.0), win_temp_p=(0.5, 2.0), win_temp_s=(0.5, 2.5), dt_thres=(1.0, 1.0), cc_thres=0.9, scc_thres=2.0, warm_up_s=5.0, num_sta=4)
+    windows = waveforms.event_windows(waveforms.cut_windows(picks, waveforms.clean_traces(days), config), config)
+    pairs = spark.createDataFrame([("1", "2", f"NN.{c}") for c in "ABCDEF"], "evid_a string, evid_b string, station string")
+    got = waveforms.differential_times(pairs, windows, config).collect()
+    # a's wave stands 0.2 s earlier in its window, and one sample is the convention's
+    assert {(r.station, r.phase, r.dt_u6) for r in got} == {(f"NN.{c}", p, -250_000) for c in "ABCD" for p in "PS"}
+    assert waveforms.differential_times(pairs, windows, config.but(num_sta=5)).count() == 0

@@ -5,6 +5,7 @@ import struct
 
 import numpy as np
 import pytest
+from mseed_files import mseed_record
 from pyspark.sql import functions as F
 
 from wavetide.config import Config
@@ -175,6 +176,13 @@ def test_cut_windows(spark):
     assert one.has_p and one.has_s and len(one.p_data) == 1 and len(one.s_data) == 2 and len(one.s_data[0]) == 70
     half = waveforms.event_windows(cut.filter("channel = 'EHZ'"), config).first()
     assert half.has_p and not half.has_s and half.ts_rel == -1.0 and half.s_data is None
+    codes = {"EHZ": "HH3", "EHE": "HH1", "EHN": "HH2"}
+    other = cut.replace(codes, subset="channel").withColumn("window", F.transform("window", lambda v: v + 7))
+    both = waveforms.event_windows(cut.unionByName(other), config).first()  # the smaller code's instrument, whole
+    assert both.s_data == one.s_data and both.p_data == one.p_data
+    assert waveforms.event_windows(other, config).first().s_data[0] == pytest.approx([v + 7 for v in one.s_data[0]])
+    mixed = waveforms.event_windows(cut.filter("channel <> 'EHN'").unionByName(other.filter("channel = 'HH2'")), config).first()
+    assert mixed.has_p and not mixed.has_s  # no phase from two instruments
     back = spark.read.parquet
     import tempfile
 
@@ -209,6 +217,58 @@ def test_windows_across_hours_equal_those_of_the_whole_trace(spark):
     assert longest[0] <= (3600 + 27) * 10 + 2 * 8 + 1 and longest[1] == 3
 
 
+def test_cutting_takes_cubics_exactly_and_filters_as_the_formula_says(spark):
+    """A cubic read at 5 Hz comes out exactly at 10 Hz; a sine long after the filter's start has the gain and phase of the
+    Butterworth polynomial at its frequency."""
+    start = 1_000_000_000_000_000
+    poly = lambda t: 2 - t + 0.05 * t**2 - 0.0003 * t**3
+    sine = lambda t: np.sin(2 * np.pi * 0.9 * t)
+    schema, asked = "station string, channel string, trace_id long, start_us long, rate double, data array<double>", "evid string, station string, ot_us long, tp_us long, ts_us long"
+    ask = spark.createDataFrame([("e", "S", start, start + 60_000_000, None)], asked)
+    open_ = Config(samp_rate=10.0, freq_band=(None, None), win_temp_p=(0.5, 2.5), dt_thres=(1.0, 1.5))
+    traces = spark.createDataFrame([("S", "EHZ", 1, start, 5.0, poly(np.arange(450) / 5).tolist())], schema)
+    (row,) = waveforms.cut_windows(ask, traces, open_).collect()
+    at = 58.5 + np.arange(50) / 10
+    assert np.allclose(row.window, poly(at), rtol=1e-6)
+    band = open_.but(freq_band=(0.2, 2.0), warm_up_s=50.0)
+    traces = spark.createDataFrame([("S", "EHZ", 1, start, 10.0, sine(np.arange(900) / 10).tolist())], schema)
+    (row,) = waveforms.cut_windows(ask, traces, band).collect()
+    low, high, w = (np.tan(np.pi * f / 10) for f in (0.2, 2.0, 0.9))
+    s = (1j * w * 1j * w + low * high) / (1j * w * (high - low))
+    h = 1 / np.prod([s - np.exp(1j * np.pi * (2 * k + 5) / 8) for k in range(4)])
+    assert np.allclose(row.window, np.imag(h * np.exp(2j * np.pi * 0.9 * at)), atol=1e-5)
+
+
+def test_fast_traces_are_cut_quickly_and_in_little_room():
+    import time
+    import tracemalloc
+
+    x = np.random.default_rng(0).normal(size=(1, 12_500))
+    sos = K.butterworth(1000.0, 1.0, 16.0)
+    tracemalloc.start()
+    began = time.perf_counter()
+    y = K.filtered(K.interpolated(x, np.arange(24_998) / 2), sos)
+    assert time.perf_counter() - began < 1 and tracemalloc.get_traced_memory()[1] < 200e6 and y.shape == (1, 24_998)
+    tracemalloc.stop()
+
+
+def test_station_days(spark):
+    """Three traces a day are cut to their common stretch; two, four, unequal rates and traces apart give nothing."""
+    t0 = 1_000_000_000_000_000
+    at = lambda st, c, k, shift, n, rate=10.0: (st, "d", c, k, t0 + shift, rate, [float(v) for v in range(n)])
+    told = [at("A", "E", 1, 0, 100), at("A", "N", 2, 310_000, 100), at("A", "Z", 3, 160_000, 90)]
+    told += [at("B", "E", 4, 0, 10), at("B", "N", 5, 0, 10), at("C", "E", 6, 0, 10), at("C", "N", 7, 0, 10), at("C", "Z", 8, 0, 10), at("C", "Z", 9, 0, 10)]
+    told += [at("D", "E", 10, 0, 10), at("D", "N", 11, 0, 10), at("D", "Z", 12, 0, 10, 20.0), at("F", "E", 13, 0, 10), at("F", "N", 14, 0, 10), at("F", "Z", 15, 9_000_000, 10)]
+    told += [("G", "d", None, 16, t0, 10.0, [1.0]), (None, "d", "E", 17, t0, 10.0, [1.0]), ("G", "d", "E", 18, t0, None, [1.0]), ("G", "d", "N", 19, t0, 1.0, None)]
+    df = spark.createDataFrame(told, "station string, day string, channel string, trace_id long, start_us long, rate double, data array<float>")
+    got = {r.trace_id: r for r in waveforms.station_days(df).collect()}
+    assert set(got) == {1, 2, 3}
+    # the common stretch begins at 0.31 s and ends with channel Z at 9.06 s
+    assert [(got[k].data[0], len(got[k].data)) for k in (1, 2, 3)] == [(3.0, 88), (0.0, 88), (2.0, 88)]
+    assert {r.start_us for r in got.values()} == {t0 + 300_000}
+    assert waveforms.station_days(df.limit(0)).count() == 0
+
+
 # records and pairs
 def test_last_wins_and_templates(spark):
     picks = spark.createDataFrame([("e", " n.a", 1, 1, 5), ("e", "N.A", 2, None, 7), ("e", "N.B", 1, 1, 6), (None, "N.B", 1, 1, 6)], "evid string, net_sta string, tp long, ts long, line_no long")
@@ -342,38 +402,6 @@ def test_waveform_folders_and_run_meta(spark, tmp_path):
 
 
 # miniSEED
-def steim_body(x, kind):
-    """Frames of one record, every difference in the widest packing but where a narrow one fits four or seven."""
-    d = [0, *np.diff(x).tolist()]
-    words, k = [], 0
-    while k < len(d):
-        some = d[k : k + 7]
-        if kind == 11 and len(some) == 7 and all(-8 <= v < 8 for v in some):
-            words.append((3, (2 << 30) | sum((v & 15) << (4 * (6 - j)) for j, v in enumerate(some))))
-            k += 7
-        elif len(some) >= 4 and all(-128 <= v < 128 for v in some[:4]):
-            words.append((1, sum((v & 255) << (8 * (3 - j)) for j, v in enumerate(some[:4]))))
-            k += 4
-        else:
-            words.append((3, d[k] & 0xFFFFFFFF) if kind == 10 else (2, (1 << 30) | (d[k] & 0x3FFFFFFF)))
-            k += 1
-    words = [(0, x[0] & 0xFFFFFFFF), (0, x[-1] & 0xFFFFFFFF), *words]
-    body = b""
-    for f in range(0, len(words), 15):
-        part = words[f : f + 15] + [(0, 0)] * (15 - len(words[f : f + 15]))
-        body += struct.pack(">16I", sum(c << (28 - 2 * j) for j, (c, _) in enumerate(part)), *[w for _, w in part])
-    return body
-
-
-def mseed_record(x, encoding, second, rate=20):
-    body = {3: lambda: struct.pack(f">{len(x)}i", *x), 4: lambda: struct.pack(f">{len(x)}f", *x)}.get(encoding, lambda: steim_body(x, encoding))()
-    size = 9
-    while (1 << size) < 64 + len(body):
-        size += 1
-    head = b"000001D " + b"AB   " + b"  " + b"EHZ" + b"NN" + struct.pack(">HHBBBBH", 2018, 227, 1, 2, second, 0, 5000) + struct.pack(">Hhh", len(x), rate, 1) + bytes([0, 0, 0, 1]) + struct.pack(">iHH", 0, 64, 48)
-    return (head + struct.pack(">HHBBBB", 1000, 0, encoding, 1, size, 0) + bytes(8) + body).ljust(1 << size, b"\0")
-
-
 @pytest.mark.parametrize("encoding", [3, 4, 10, 11])
 def test_miniseed(spark, tmp_path, encoding):
     rng = np.random.default_rng(encoding)

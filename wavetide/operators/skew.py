@@ -24,13 +24,15 @@ def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> list:
 def split_join(left: DataFrame, right: DataFrame, key: str, how: str, also=None, heavy: list | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Equi-join of ``left.key`` and ``right.key`` (``also``: a further condition) with the heavy keys of ``left`` apart.
 
-    Right rows of the heavy keys are counted: up to ``broadcast_rows`` of them are broadcast; more are copied to PIECES
-    salted parts of the key. All other keys are joined by a shuffle. ``how`` is inner, left, left_semi or left_anti.
+    Right rows are counted: up to ``broadcast_rows`` of them are broadcast to all keys, else those of the heavy keys if they
+    are so few; more are copied to PIECES salted parts of the key. All other keys are joined by a shuffle. ``how`` is inner, left, left_semi or left_anti.
     Null keys match nothing. The two sides must have no other column name in common.
     """
     right = right.withColumnRenamed(key, "_rkey")
     match = F.col(key) == F.col("_rkey")
     on = match if also is None else match & also
+    if right.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return left.join(F.broadcast(right), on, how).drop("_rkey")
     heavy = heavy_keys(left, key) if heavy is None else heavy
     if not heavy:
         return left.join(right.hint("merge"), on, how).drop("_rkey")
@@ -41,7 +43,8 @@ def split_join(left: DataFrame, right: DataFrame, key: str, how: str, also=None,
     if few.limit(broadcast_rows + 1).count() <= broadcast_rows:
         parted = some.join(F.broadcast(few), on, how)
     else:
-        some = some.withColumn("_piece", (F.rand(11) * PIECES).cast("int"))
+        own = F.xxhash64(*left.columns)  # a row falls into the same piece if its stage runs again
+        some = some.withColumn("_piece", F.pmod(own, F.lit(PIECES)).cast("int"))
         few = few.withColumn("_rpiece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
         parted = some.join(few.hint("merge"), on & (F.col("_piece") == F.col("_rpiece")), how).drop("_piece", "_rpiece")
     return light.unionByName(parted).drop("_rkey")

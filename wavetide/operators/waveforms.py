@@ -7,9 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wavetide.config import Config
+from wavetide.config import Config, PhaseSpec
 from wavetide.functions import kernels as K
 from wavetide.functions.arrays import flat
 from wavetide.operators.merge import micro_units, well_observed
@@ -18,6 +19,8 @@ from wavetide.session import durable
 HOUR_US = 3_600_000_000
 #: Samples beyond a window that its spline may use.
 PAD = 8
+#: Stretches that are filtered at a time.
+TOGETHER = 64
 
 
 def clean_traces(traces: DataFrame) -> DataFrame:
@@ -40,6 +43,29 @@ def clean_traces(traces: DataFrame) -> DataFrame:
     )
 
 
+def station_days(traces: DataFrame) -> DataFrame:
+    """``traces`` (station, day, channel, trace_id, start_us, rate, data) of the stations and days that have exactly three, one
+    a channel and all at one rate, cut to the stretch that all three share; others are left out.
+
+    The stretch begins at the latest start and ends at the earliest end, each trace at its sample nearest to them; all have
+    the first trace's (by channel) start then and the fewest samples of the three. Rows without station, day, channel,
+    start, a positive rate or samples count for none; three traces without a common stretch give nothing.
+    """
+    usable = traces.filter("station is not null and day is not null and channel is not null and start_us is not null and rate > 0 and not isnan(rate) and size(data) > 0")
+    end = F.col("start_us") + (F.size("data") - 1) / F.col("rate") * 1e6
+    shared = usable.groupBy("station", "day").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_distinct("channel").alias("_channels"), F.min("rate").alias("_slow"), F.max("rate").alias("_fast"), F.max("start_us").alias("_from"), F.min(end).alias("_to")
+    )
+    shared = shared.filter("_n = 3 and _channels = 3 and _slow = _fast and _from <= _to").select("station", "day", "_from", "_to")
+    told = usable.select("station", "day", "channel", "trace_id", "start_us", "rate", "data").join(shared, ["station", "day"])
+    skip = F.rint((F.col("_from") - F.col("start_us")) / 1e6 * F.col("rate")).cast("int")
+    keep = F.rint((F.col("_to") - F.col("_from")) / 1e6 * F.col("rate")).cast("int") + 1
+    three = W.partitionBy("station", "day")
+    told = told.withColumn("_skip", skip).withColumn("_keep", F.min(F.least(keep, F.size("data") - skip)).over(three)).filter("_keep > 0")
+    first = F.min_by(F.col("start_us") + (F.col("_skip") / F.col("rate") * 1e6).cast("long"), "channel").over(three)
+    return told.withColumn("start_us", first).select("station", "day", "channel", "trace_id", "start_us", "rate", F.slice("data", F.col("_skip") + 1, F.col("_keep")).alias("data"))
+
+
 def hour_pieces(traces: DataFrame, before_s: float, after_s: float) -> DataFrame:
     """``traces`` cut by the hours (since 1970) that they touch: hour, piece, skipped (samples before the piece), npts (of
     the trace) in place of data. A piece reaches ``before_s`` and ``after_s`` seconds beyond its hour, as far as the trace goes."""
@@ -79,18 +105,10 @@ def cut_windows(requests: DataFrame, traces: DataFrame, config: Config) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sos = K.butterworth(config.samp_rate, *config.freq_band)
         for batch in batches:
-            values, lengths = flat(batch.column("piece"))
-            rows = batch.select(["start_us", "rate", "npts", "skipped", "asks"]).to_pylist()
-            got = []
-            for k, (piece, row) in enumerate(zip(np.split(values, np.cumsum(lengths)[:-1]), rows)):
-                for ask in row["asks"]:
-                    window = _cut(piece, row, ask, specs[ask["phase"]].data_npts, config, sos)
-                    if window is not None:
-                        got.append((k, ask["evid"], ask["phase"], ask["t_rel"], window.astype(np.float32)))
-            of, evid, phase, t_rel, windows = zip(*got) if got else [()] * 5
-            of = pa.array(of, pa.int64())
-            cols = [*(batch.column(c).take(of) for c in ("station", "channel", "trace_id")), pa.array(evid, pa.string()), pa.array(phase, pa.string()), pa.array(t_rel, pa.float32())]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(list(windows), pa.list_(pa.float32()))], ["station", "channel", "trace_id", "evid", "phase", "t_rel", "window"])
+            row, ask, windows = _cut(batch, specs, config, sos)
+            told, of = batch.column("asks").flatten(), pa.array(row)
+            cols = [*(batch.column(c).take(of) for c in ("station", "channel", "trace_id")), *(told.field(c).take(pa.array(ask)) for c in ("evid", "phase", "t_rel"))]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(windows, pa.list_(pa.float32()))], ["station", "channel", "trace_id", "evid", "phase", "t_rel", "window"])
 
     cut = held.select("station", "channel", "trace_id", "start_us", "rate", "npts", "skipped", "piece", "asks").mapInArrow(
         run, "station string, channel string, trace_id long, evid string, phase string, t_rel float, window array<float>"
@@ -98,44 +116,70 @@ def cut_windows(requests: DataFrame, traces: DataFrame, config: Config) -> DataF
     return cut.groupBy("station", "channel", "evid", "phase").agg(F.min_by(F.struct("t_rel", "window"), "trace_id").alias("w")).select("station", "channel", "evid", "phase", "w.*")
 
 
-def _cut(piece: np.ndarray, trace: dict, ask: dict, npts: int, config: Config, sos: np.ndarray) -> np.ndarray | None:
-    rate, last = config.samp_rate, trace["start_us"] + int((trace["npts"] - 1) / trace["rate"] * 1e6)
-    if ask["begin"] < trace["start_us"] or ask["end"] > last:
-        return None
-    first = int(np.rint((ask["begin"] - trace["start_us"]) / 1e6 * rate))
-    warm = max(0, first - int(config.warm_up_s * rate))
-    at = np.arange(warm, first + npts) * (trace["rate"] / rate)
-    if at[-1] > trace["npts"] - 1 + 1e-9:
-        return None
-    low, high = max(0, int(at[0]) - PAD), min(trace["npts"], int(np.ceil(at[-1])) + PAD + 1)
-    part = piece[low - trace["skipped"] : high - trace["skipped"]]
-    part = part[warm - low : first + npts - low] if trace["rate"] == rate else K.interpolated(part[None], np.minimum(at - low, len(part) - 1))[0]
-    return K.filtered(part[None], sos)[0, first - warm :]
+def _cut(batch: pa.RecordBatch, specs: dict[str, PhaseSpec], config: Config, sos: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the asks of a batch that their traces can answer: row, place among all asks, window. Equally long stretches are
+    filtered together."""
+    number = lambda x: x.to_numpy(zero_copy_only=False)
+    values, lengths = flat(batch.column("piece"))
+    at_row = np.cumsum(lengths) - lengths
+    asks = batch.column("asks")
+    row = np.repeat(np.arange(batch.num_rows), number(asks.value_lengths()))
+    told = asks.flatten()
+    begin, end = number(told.field("begin")), number(told.field("end"))
+    size = np.array([specs[p].data_npts for p in told.field("phase").to_pylist()], np.int64)
+    start, rate, npts, skipped = (number(batch.column(c))[row] for c in ("start_us", "rate", "npts", "skipped"))
+    last = start + ((npts - 1) / rate * 1e6).astype(np.int64)
+    first = np.rint((begin - start) / 1e6 * config.samp_rate).astype(np.int64)
+    ratio = rate / config.samp_rate
+    ok = (begin >= start) & (end <= last) & ((first + size - 1) * ratio <= npts - 1 + 1e-9)
+    warm = np.maximum(0, first - int(config.warm_up_s * config.samp_rate))
+    alike: dict[int, list[int]] = {}
+    for k in np.flatnonzero(ok).tolist():
+        alike.setdefault(int(first[k] + size[k] - warm[k]), []).append(k)
+    which, windows = [], []
+    for n, some in alike.items():
+        for part in (some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)):
+            stretch = np.empty((len(part), n))
+            for k, out in zip(part, stretch):
+                piece = values[at_row[row[k]] : at_row[row[k]] + lengths[row[k]]]
+                at = np.arange(warm[k], warm[k] + n) * ratio[k]
+                low, high = max(0, int(at[0]) - PAD), min(npts[k], int(np.ceil(at[-1])) + PAD + 1)
+                near = piece[low - skipped[k] : high - skipped[k]]
+                out[:] = near[warm[k] - low : warm[k] - low + n] if ratio[k] == 1 else K.interpolated(near[None], np.minimum(at - low, len(near) - 1))[0]
+            done = K.filtered(stretch, sos).astype(np.float32)
+            which += part
+            windows += [done[j, n - size[k] :] for j, k in enumerate(part)]
+    which = np.array(which, np.int64)
+    return row[which], which, windows
+
+
+#: Last characters of the channel codes of the three components, by number.
+COMPONENTS = ("E1X", "N2Y", "Z3")
 
 
 def event_windows(windows: DataFrame, config: Config) -> DataFrame:
     """station, evid, tp_rel, ts_rel, has_p, has_s, p_data, s_data: one row per station and event with a whole phase.
 
-    A phase is whole if each of its channels (the codes' last letters E, N, Z by number) has its window; a missing phase is
-    null with its time at -1.
+    A phase is whole if each of its channels has its window: channels are numbered by their codes' last characters
+    (``COMPONENTS``) within one instrument (the code without it); of several instruments that have the phase whole the one
+    with the smallest code is taken. A missing phase is null with its time at -1.
     """
-    letter = lambda k: "ENZ"[k]
-    out = windows.groupBy("station", "evid")
-    aggs = []
+    letter, instrument = F.right("channel", F.lit(1)), F.expr("left(channel, length(channel) - 1)")
+    aggs, found = [], []
     for p, spec in config.phases().items():
         here = F.col("phase") == p
         aggs.append(F.max(F.when(here, F.col("t_rel"))).alias(f"t{p}"))
-        aggs += [F.max(F.when(here & F.endswith("channel", F.lit(letter(k))), F.col("window"))).alias(f"{p}{k}") for k in spec.channels]
-    one = out.agg(*aggs)
-    cols = ["station", "evid"]
-    for p, spec in config.phases().items():
+        aggs += [F.max(F.when(here & letter.isin(*COMPONENTS[k]), F.col("window"))).alias(f"{p}{k}") for k in spec.channels]
         whole = F.lit(True)
         for k in spec.channels:
             whole = whole & F.col(f"{p}{k}").isNotNull()
-        q = p.lower()
-        one = one.withColumn(f"has_{q}", whole).withColumn(f"{q}_data", F.when(whole, F.array(*[f"{p}{k}" for k in spec.channels]))).withColumn(f"t{q}_rel", F.when(whole, F.col(f"t{p}")).otherwise(F.lit(-1.0).cast("float")))
-        cols += [f"t{q}_rel", f"has_{q}", f"{q}_data"]
-    return one.select(*cols).filter("has_p or has_s")
+        got = F.struct(F.col(f"t{p}").alias("t"), F.array(*[f"{p}{k}" for k in spec.channels]).alias("data"))
+        found.append(F.min_by(F.when(whole, got), F.when(whole, F.col("instrument"))).alias(p))
+    one = windows.filter("channel is not null").groupBy("station", "evid", instrument.alias("instrument")).agg(*aggs).groupBy("station", "evid").agg(*found)
+    times = [F.coalesce(f"{p}.t", F.lit(-1.0).cast("float")).alias(f"t{p.lower()}_rel") for p in config.phases()]
+    marks = [F.col(p).isNotNull().alias(f"has_{p.lower()}") for p in config.phases()]
+    data = [F.col(f"{p}.data").alias(f"{p.lower()}_data") for p in config.phases()]
+    return one.select("station", "evid", *times, *marks, *data).filter("has_p or has_s")
 
 
 def correlate(pairs: DataFrame, data_npts: int, temp_start: int, temp_npts: int, rate: float, shift_s: float, separation_s: float) -> DataFrame:

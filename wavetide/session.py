@@ -16,6 +16,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "5000")  # candidate_edges ranks up to 2001 rows
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -42,9 +44,13 @@ def ship_library(spark: SparkSession) -> None:
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there, so that lost executors cost no recomputation.
 
-    The folder is the one in ``spark.checkpoint.dir``; only where none is set (tests) a temporary one is used.
+    The folder is the one in ``spark.checkpoint.dir``. Where none is set, a temporary one is used if the session runs in one
+    local process (tests); on a cluster that is an error, as executors could not read one another's files.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="wavetide-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="wavetide-"))
     return df.checkpoint(eager=True)

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wavetide.operators.waveforms import station_days
+from wavetide.sources.catalog import list_waveforms
+
 RECORD = "path string, no int, station string, channel string, start_us long, rate double, samples array<float>"
 #: Data encodings by their number in the format: plain samples as NumPy types, and the two Steim compressions.
 PLAIN = {1: "i2", 3: "i4", 4: "f4", 5: "f8"}
@@ -104,3 +107,13 @@ def traces(records: DataFrame) -> DataFrame:
     runs = records.withColumn("_new", new).withColumn("_run", F.sum("_new").over(along))
     parts = F.array_sort(F.collect_list(F.struct("start_us", "no", "samples")))
     return runs.groupBy("path", "station", "channel", "_run").agg(F.min("start_us").alias("start_us"), F.first("rate").alias("rate"), F.flatten(F.transform(parts, lambda r: r["samples"])).alias("data")).drop("_run")
+
+
+def station_day_traces(spark: SparkSession, root: str, suffix: str = "mseed") -> DataFrame:
+    """station, day, channel, trace_id, start_us, rate, data of the waveform folders under ``root`` (``list_waveforms``): the
+    three files of each station and day, cut to their common stretch (``waveforms.station_days``). A day whose files hold more
+    than three traces, so one with gaps, is left out.
+    """
+    files = list_waveforms(spark, root, suffix).select("day", F.posexplode("paths").alias("k", "path"))
+    told = traces(read_records(spark, f"{root}/[0-9]*")).join(files, "path")
+    return station_days(told.select("station", "day", "channel", F.col("k").cast("long").alias("trace_id"), "start_us", "rate", "data"))
