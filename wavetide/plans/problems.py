@@ -51,15 +51,28 @@ def p2_usual_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # 3: irregular readings onto a regular grid
-def p3_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = table(spark, sf_dir, "traces").select(
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "traces").select(
         station_code(F.col("station")).alias("station"), "channel", "date", micros(F.col("starttime")).alias("start_us"), F.col("sampling_rate").alias("rate"), "data"
     )
-    return grid.regular_series(readings)
+
+
+def p3_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid.regular_series(_readings(spark, sf_dir))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p3_series(spark, sf_dir).filter("filled").select("station", "channel", "date", "slot")
+    return grid.regular_series(_readings(spark, sf_dir), only_filled=True).select("station", "channel", "date", "slot")
+
+
+def p3_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series without the imputed values, which SQL cannot say."""
+    return p3_series(spark, sf_dir).select("station", "channel", "date", "slot", F.when(~F.col("filled"), F.round("value", 6)).alias("mean"), "filled")
+
+
+def p3_how(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the slots of each day came about: read, imputed, unsettled (no rest found) or line (no model)."""
+    return p3_series(spark, sf_dir).groupBy("date", "how").agg(F.count(F.lit(1)).alias("n_slots"))
 
 
 def p3_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +134,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_report, p2_found, p2_usual_steps, p3_found, p3_per_source, p5_found, p4_found, p4_window_counts, p4_station_counts, p6_found, p7_found, p7_ranked)
+    f.__name__: f for f in (p1_found, p1_report, p2_found, p2_usual_steps, p3_found, p3_per_source, p3_series, p3_means, p3_how, p5_found, p4_found, p4_window_counts, p4_station_counts, p6_found, p7_found, p7_ranked)
 }
 
 CODE = "nullif(upper(trim({}, ' ' || chr(9))), '')"
@@ -174,6 +187,10 @@ SQL: dict[str, str] = {
     "p3_found": f"WITH {_SLOTS} SELECT * FROM every EXCEPT SELECT * FROM slots",
     "p3_per_source": f"""WITH {_SLOTS}, held AS (SELECT station, channel, date, count(*) AS n FROM slots GROUP BY ALL)
 SELECT station, channel, date, count(*) AS n_slots, count(*) - any_value(n) AS n_filled FROM every JOIN held USING (station, channel, date) GROUP BY ALL""",
+    "p3_means": f"""WITH {_SLOTS}, means AS (SELECT station, channel, date, CAST(floor((a + CAST(floor(i * 1e6 / rate) AS BIGINT)) / 1e6) AS BIGINT) AS slot, round(avg(x), 6) AS mean
+  FROM samples WHERE isfinite(x) AND a IS NOT NULL AND rate > 0 AND NOT isnan(rate) GROUP BY ALL)
+SELECT e.station, e.channel, e.date, e.slot, mean, mean IS NULL AS filled FROM every e LEFT JOIN means m
+  ON e.station = m.station AND e.channel IS NOT DISTINCT FROM m.channel AND e.date IS NOT DISTINCT FROM m.date AND e.slot = m.slot""",
     "p5_found": f"""WITH {PLACES}, q AS (SELECT evid, q FROM places WHERE q.dep BETWEEN -5 AND 700),
 st AS (SELECT station, s FROM (SELECT {CODE.format("net_sta")} AS station, arg_max(struct_pack(lat := lat, lon := lon), line_no) AS s FROM stations GROUP BY ALL)
   WHERE station IS NOT NULL AND NOT isnan(s.lat) AND abs(s.lat) <= 90 AND NOT isnan(s.lon) AND abs(s.lon) <= 180)
