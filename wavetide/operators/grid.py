@@ -62,7 +62,7 @@ def slot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = pa.array(np.append(begin, len(at)).astype(np.int32))
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in ((slot[at] - block * BLOCK).astype(np.int16), total[at], n[at].astype(np.int32))]
             inner = np.flatnonzero(own[at] == block)
-            run = (np.cumsum(np.isin(np.arange(len(at)), begin)) - 1)[inner]
+            run = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(at))))[inner]
             edge = np.flatnonzero(np.concatenate([[True], np.diff(run) != 0]))
             edges = np.stack([inner[edge], inner[np.append(edge[1:], len(inner)) - 1]], 1).ravel() if len(inner) else inner
             has = np.zeros(len(begin), np.int32)
@@ -335,7 +335,9 @@ def regular_series(readings: DataFrame, only_filled: bool = False) -> DataFrame:
     usable = readings.filter("station is not null and start_us is not null and rate > 0 and not isnan(rate)").select(*SOURCE, "start_us", F.col("rate").cast("double").alias("rate"), "data")
     sums = usable.mapInArrow(slot_sums, SUMS).select(src.alias("src"), "block", "slots", "totals", "ns", "ends").repartition(*key)
     # the first slot of a block is the first of every list that holds it, and the last one the last
-    means = sums.select(*key, F.explode("ends").alias("e")).groupBy(*key, F.col("e.slot").alias("slot")).agg((F.sum("e.total") / F.sum("e.n")).alias("mean"))
+    # (the lists are looked at only so that this asks for the same columns as the last step: one shuffle then serves both)
+    lists = (F.size("slots") + F.size("totals") + F.size("ns")).alias("lists")
+    means = sums.select(*key, lists, F.explode_outer("ends").alias("e")).groupBy(*key, F.col("e.slot").alias("slot")).agg((F.sum("e.total") / F.sum("e.n")).alias("mean"), F.max("lists").alias("lists")).filter("lists > 0 and slot is not null")
     end = F.struct("slot", "mean")
     ends = means.groupBy(*key).agg(F.min_by(end, "slot").alias("first"), F.max_by(end, "slot").alias("last"))
     along = W.partitionBy("src").orderBy("block")
@@ -345,5 +347,5 @@ def regular_series(readings: DataFrame, only_filled: bool = False) -> DataFrame:
     spread = ends.select("src", "last", "prev", "next", F.col("block").alias("_own"), F.explode(F.sequence("block", following - 1)).alias("block"))
     prev = F.when(F.col("block") == F.col("_own"), F.col("prev")).otherwise(F.col("last"))
     frames = spread.select(*key, prev.alias("prev"), "next").select(*key, *[F.col(f"{x}.{y}").alias(f"{x}_{y}") for x in ("prev", "next") for y in ("slot", "mean")])
-    read = frames.join(sums.drop("ends").hint("merge"), key, "left").sortWithinPartitions(*key)
+    read = frames.join(sums.hint("merge"), key, "left").sortWithinPartitions(*key)
     return read.select("src.*", *[c for c in read.columns if c != "src"]).mapInArrow(lambda batches: fill_blocks(batches, only_filled), SERIES)
