@@ -179,13 +179,30 @@ def made_up_docs(seed, n, alphabet):
     return docs
 
 
-@pytest.mark.parametrize(("alphabet", "group"), [("ab", 64), ("ab", 1), ("abcdefgh日👩é", 64), ("abcdefgh日👩é", 2)])
-def test_shared_spans(spark, alphabet, group):
+@pytest.mark.parametrize(("alphabet", "group", "most", "hot"), [("ab", 64, 500, 10_000), ("ab", 1, 3, 5), ("abcdefgh日👩é", 64, 0, 2), ("abcdefgh日👩é", 2, 20, 30)])
+def test_shared_spans(spark, monkeypatch, alphabet, group, most, hot):
+    """Broadcast and shuffled, with and without hot signatures."""
+    monkeypatch.setattr(spans, "HOT", hot)
     docs = made_up_docs(len(alphabet), 50, alphabet)
-    got = spans.shared_spans(docs_of(spark, docs).repartition(4), 16, group)
+    got = spans.shared_spans(docs_of(spark, docs).repartition(4), 16, group, (most, most))
     assert rows(got) == spans_by_hand(docs, 16)
 
 
+def test_anchors_and_joint_windows():
+    rng = np.random.default_rng(0)
+    tokens = rng.integers(0, 20, 200).astype(np.uint64) << np.uint64(40)
+    assert spans.anchors(tokens, 13).tolist() == [k + int(np.argmin(tokens[k : k + 13])) for k in range(188)]
+    texts = pa.array(["".join(rng.choice(list("abc"), 120)), "short", "".join(rng.choice(list("abc"), 90))])
+    codes_, offsets = codes.code_points(texts)
+    sig, text, anchor, s0, s1, ctx = spans.compact_windows(codes_, offsets, 30, 8, 2)
+    for t, n in ((0, 120), (2, 90)):
+        covered = [s for a, b in zip(s0[text == t], s1[text == t]) for s in range(a, b + 1)]
+        assert covered == list(range(n - 29))  # each start once
+    one = spans.compact_windows(codes_, offsets, 30, 8, 1)
+    # each joint window lies within one window of the first hash
+    assert all(any(a >= c and b <= d and x == y for c, d, y, u in zip(one[3], one[4], one[2], one[1]) if u == t) for a, b, x, t in zip(s0, s1, anchor, text))
+
+
 def test_shared_spans_of_many_copies(spark):
     text = "".join(chr(97 + (k * k + k // 3) % 26) for k in range(900))
     docs = [(k, f"{k:>04d}" * (k % 3) + text[(k % 5) * 7 : 600 + k]) for k in range(120)] + [(500, text[:255]), (501, text[300:])]

@@ -10,47 +10,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wavetide.llm.codes import BASE, BASE_2, Stretches, code_points, text_pieces
+from wavetide.llm.codes import BASE, BASE_2, Stretches, code_points, mix, text_pieces
+from wavetide.session import durable
+
+#: One number per hash function over tokens.
+SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
 
 #: Characters of a shared span at least.
 SPAN = 256
+#: Characters of a token (every character begins one, so that spans need no common word borders), and hash functions over tokens.
+GRAM, HASHES = 32, 2
 #: Contexts of one signature that are compared with one another; larger groups go by the hashes of their single spans.
 GROUP = 64
-#: Parts into which the rows of each signature are salted.
-SALT = 16
+#: A signature (or hash) with so many rows is hot; its rows are salted into so many parts.
+HOT, SALT = 10_000, 64
+#: Most signatures, and most records, that go out as a broadcast; more are met by a shuffle.
+BROADCAST_SIGS, BROADCAST_DOCS = 500_000, 1_000_000
 
 
-def compact_windows(codes: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """signature, text, anchor, first and last start, context: the compact windows of all spans of the texts.
+def anchors(tokens: np.ndarray, size: int) -> np.ndarray:
+    """For each run of ``size`` tokens the place of its least token (the leftmost of equals).
 
-    Each span of ``span`` characters is known by its least gram (``gram`` characters, by hash, the leftmost of equals), its
-    anchor. The spans that share an anchor, those of one node of the Cartesian tree over the grams' hashes, have
-    successive starts and make one compact window. Its context is the hash of the stretch that they cover together.
-    Every span is in exactly one window, and equal spans have equal signatures and equal anchors within the span.
+    These are the nodes of the Cartesian tree over the tokens: a token is the anchor of the runs that hold it and lie
+    within its node's range, from behind the last smaller token to before the next one.
     """
-    none = tuple(np.zeros(0, np.int64) for _ in range(6))
-    if len(codes) < span:
-        return none
-    hashes = Stretches(codes)
-    grams = hashes.windows(gram)
-    bits = int(len(codes)).bit_length()
+    bits = int(len(tokens) + 1).bit_length()
     low = np.uint64((1 << bits) - 1)
-    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    many, w = span - gram + 1, 1
-    while 2 * w <= many:
+    least = (tokens & ~low) | np.arange(len(tokens), dtype=np.uint64)
+    w = 1
+    while 2 * w <= size:
         least = np.minimum(least[:-w], least[w:])
         w *= 2
-    if rest := many - w:
+    if rest := size - w:
         least = np.minimum(least[:-rest], least[rest:])
+    return (least & low).astype(np.int64)
+
+
+def compact_windows(codes: np.ndarray, offsets: np.ndarray, span: int, gram: int, hashes: int = HASHES) -> tuple[np.ndarray, ...]:
+    """signature, text, anchor, first and last start, context: the compact windows of all spans of the texts.
+
+    Under each hash function a span of ``span`` characters is known by its least token, its anchor, and the spans of one
+    anchor, which have successive starts, make one compact window. The windows of all hash functions are joined as
+    intervals: a joint window is a run of starts that have the same anchors throughout; its signature is made of all
+    least tokens and the distances between them. Its context is the hash of the stretch that its spans cover together.
+    Every span is in exactly one joint window, and equal spans have equal signatures and equal anchors within the span.
+    """
+    none = tuple(np.zeros(0, np.int64) for _ in range(6))
+    if len(codes) < span:
+        return none
+    stretches = Stretches(codes)
+    tokens = stretches.windows(gram)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    start = np.flatnonzero(text[: len(least)] == text[span - 1 :][: len(least)])
+    n = len(codes) - span + 1
+    start = np.flatnonzero(text[:n] == text[span - 1 :])
     if not len(start):
         return none
-    anchor = (least[start] & low).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(start) != 1)]))
-    s0, s1, c = start[first], start[np.append(first[1:], len(start)) - 1], anchor[first]
+    found = [anchors(mix(tokens ^ np.uint64(SEEDS[k])), span - gram + 1)[start] for k in range(hashes)]
+    new = np.concatenate([[True], np.diff(start) != 1])
+    for at in found:
+        new[1:] |= np.diff(at) != 0
+    first = np.flatnonzero(new)
+    s0, s1 = start[first], start[np.append(first[1:], len(start)) - 1]
+    at = [x[first] for x in found]
+    signature = np.zeros(len(first), np.uint64)
+    for x in at:
+        signature = mix(signature ^ tokens[x] ^ mix((x - at[0]).astype(np.uint64)))
     of = text[s0]
-    return grams[c].view(np.int64), of, c - offsets[of], s0 - offsets[of], s1 - offsets[of], hashes.of(s0, s1 + span).view(np.int64)
+    return signature.view(np.int64), of, at[0] - offsets[of], s0 - offsets[of], s1 - offsets[of], stretches.of(s0, s1 + span).view(np.int64)
 
 
 def shared_starts(contexts: list[str], lefts: list[int], lo: list[int], hi: list[int], span: int) -> list[list[tuple[int, int]]]:
@@ -78,66 +104,73 @@ def shared_starts(contexts: list[str], lefts: list[int], lo: list[int], hi: list
     return out
 
 
-def shared_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP) -> DataFrame:
+def shared_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP, broadcast: tuple[int, int] = (BROADCAST_SIGS, BROADCAST_DOCS)) -> DataFrame:
     """doc_id, span_start, span_end: the longest runs of characters of each text that lie in a stretch of ``span``
     characters which stands verbatim in the text of another doc_id (characters from 0, end exclusive).
 
-    Compact windows (``compact_windows``) send one short row per about span / 4 characters instead of one per character.
-    Windows of a signature that only one record has are dropped. Of the others, windows with equal contexts in two
-    records are shared throughout. Where a signature has several contexts, one text each is compared around the anchor;
-    signatures with more than ``group`` contexts are settled span by span, by hashes of 128 bits, instead, so no task
-    meets an unbounded group and no pair of records is formed. Rows of a signature are salted in every join.
+    Compact windows (``compact_windows``) send one short row per about span / 5 characters instead of one per character:
+    first only signature and record, combined before the shuffle, to find the signatures of several records; then the
+    windows of those alone. Of them, windows with equal contexts in two records are shared throughout. Where a signature
+    has several contexts, one text each is compared around the anchor; signatures with more than ``group`` contexts are
+    settled span by span, by hashes of 128 bits, instead, so no task meets an unbounded group and no pair of records is
+    formed. Only texts of records with such contexts are moved. Signatures of HOT rows and more are salted in joins.
+    ``broadcast``: how many signatures and records may be broadcast; beyond that the same joins are shuffled.
 
     ``docs``: doc_id, text. Null, empty and shorter texts, and rows without doc_id, share nothing; repeated rows are one
     record (should one doc_id have several texts, runs of all of them are merged); further columns are dropped; repeats
     within one record alone are no spans; texts of any length are read whole.
     """
-    gram = span // 2
+    gram = min(GRAM, span // 2)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null").filter(F.length("text") >= span)
-    docs = docs.withColumn("part", F.xxhash64("text"))  # tells texts of one doc_id apart
+    docs = docs.withColumn("part", F.hash("text"))  # tells texts of one doc_id apart
 
     def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_pieces(whole):
-                sig, text, *places, context = compact_windows(*code_points(batch.column("text")), span, gram)
+                sig, text, anchor, s0, s1, context = compact_windows(*code_points(batch.column("text")), span, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig), *(batch.column(c).take(pa.array(text)) for c in ("doc_id", "part")), *(pa.array(x.astype(np.int32)) for x in places), pa.array(context)],
-                    ["sig", "doc_id", "part", "anchor", "s0", "s1", "ctx"],
+                    [pa.array(sig), *(batch.column(c).take(pa.array(text)) for c in ("doc_id", "part")), pa.array(s0.astype(np.int32)), *(pa.array(x.astype(np.int32)) for x in (anchor - s0, s1 - s0)), pa.array(context)],
+                    ["sig", "doc_id", "part", "s0", "before", "more", "ctx"],
                 )
 
-    windows = docs.mapInArrow(windows_of, "sig long, doc_id long, part long, anchor int, s0 int, s1 int, ctx long")
-    windows = windows.withColumn("before", F.col("anchor") - F.col("s0")).withColumn("more", F.col("s1") - F.col("s0")).drop("s1")
+    windows = docs.mapInArrow(windows_of, "sig long, doc_id long, part int, s0 int, before int, more int, ctx long")
     ends = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")]
-    salt, salts = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
 
-    in_several = windows.groupBy("sig").agg(*ends).filter("lo <> hi").select("sig", salts.alias("salt"))
-    rows = durable_rows(windows.withColumn("salt", salt).join(in_several, ["sig", "salt"], "left_semi").drop("salt"))
+    in_several = durable(windows.groupBy("sig").agg(*ends, F.count(F.lit(1)).alias("n")).filter("lo <> hi").select("sig", (F.col("n") >= HOT).alias("hot")))
+    rows = durable(salted_join(windows, in_several, ["sig"], "doc_id", broadcast[0]))
 
     # one row per signature and context, with the records that have it and one place where its text stands
     key = ["sig", "ctx", "before", "more"]
-    contexts = rows.groupBy(*key).agg(*ends, F.min(F.struct("doc_id", "part", "s0")).alias("at"))
+    contexts = rows.groupBy(*key).agg(*ends, F.max("hot").alias("hot"), F.min(F.struct("doc_id", "part", "s0")).alias("at"))
     per_sig = contexts.groupBy("sig").agg(F.count(F.lit(1)).alias("n_ctx"))
-    contexts = contexts.join(per_sig, "sig").select(*key, "lo", "hi", "n_ctx", "at.doc_id", "at.part", F.col("at.s0").alias("s0"))
-    whole = contexts.filter("n_ctx = 1 and lo <> hi").select(*key, F.array(F.struct((-F.col("before")).alias("a"), (F.col("more") - F.col("before")).alias("b"))).alias("ranges"))
+    contexts = contexts.join(per_sig, "sig").filter("n_ctx > 1 or lo <> hi").select(*key, "hot", "lo", "hi", "n_ctx", "at.doc_id", "at.part", F.col("at.s0").alias("s0"))
+    contexts = durable(contexts)
+    start, end = (-F.col("before")).cast("int"), (F.col("more") - F.col("before")).cast("int")
+    whole = contexts.filter("n_ctx = 1").select(*key, "hot", F.array(F.struct(start.alias("a"), end.alias("b"))).alias("ranges"))
 
     several = contexts.filter("n_ctx > 1")
+    wanted = several.select("doc_id").distinct()
+    few_docs = wanted.limit(broadcast[1] + 1).count() <= broadcast[1]
+    held = docs.join(F.broadcast(wanted) if few_docs else wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "part"])
     stretch = F.substring(F.col("text"), F.col("s0") + 1, F.col("more") + F.lit(span))
-    texts = several.join(docs.dropDuplicates(["doc_id", "part"]), ["doc_id", "part"]).select(*key, "lo", "hi", "n_ctx", stretch.alias("context"))
-    few = texts.filter(F.col("n_ctx") <= group).groupBy("sig").agg(F.collect_list(F.struct("ctx", "before", "more", "lo", "hi", "context")).alias("members"))
+    texts = durable(several.join(held, ["doc_id", "part"]).select(*key, "hot", "lo", "hi", "n_ctx", stretch.alias("context")))
+    few = texts.filter(F.col("n_ctx") <= group).groupBy("sig").agg(F.collect_list(F.struct("ctx", "before", "more", "hot", "lo", "hi", "context")).alias("members"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {"sig": [], "ctx": [], "before": [], "more": [], "ranges": []}
+            out: dict[str, list] = {"sig": [], "ctx": [], "before": [], "more": [], "hot": [], "ranges": []}
             for sig, members in zip(batch.column("sig").to_pylist(), batch.column("members").to_pylist()):
                 found = shared_starts([m["context"] for m in members], [m["before"] for m in members], [m["lo"] for m in members], [m["hi"] for m in members], span)
                 for m, ranges in zip(members, found):
                     if ranges:
-                        for c, v in zip(out, (sig, m["ctx"], m["before"], m["more"], [{"a": a, "b": b} for a, b in ranges])):
+                        for c, v in zip(out, (sig, m["ctx"], m["before"], m["more"], m["hot"], [{"a": a, "b": b} for a, b in ranges])):
                             out[c].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("sig", pa.int64()), ("ctx", pa.int64()), ("before", pa.int32()), ("more", pa.int32()), ("ranges", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))]))
+            yield pa.RecordBatch.from_pydict(
+                out,
+                schema=pa.schema([("sig", pa.int64()), ("ctx", pa.int64()), ("before", pa.int32()), ("more", pa.int32()), ("hot", pa.bool_()), ("ranges", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))]),
+            )
 
-    result = "sig long, ctx long, before int, more int, ranges array<struct<a:int,b:int>>"
-    compared = few.mapInArrow(compare, result)
+    compared = few.mapInArrow(compare, "sig long, ctx long, before int, more int, hot boolean, ranges array<struct<a:int,b:int>>")
 
     def single_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
@@ -150,32 +183,46 @@ def shared_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP) -> DataF
                 where = offsets[row] + start
                 before = batch.column("before").to_numpy()[row]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(pa.array(row)) for c in (*key, "lo", "hi")), pa.array((start - before).astype(np.int32)), *(pa.array(h[where]) for h in hashes)],
-                    [*key, "lo", "hi", "start", "h1", "h2"],
+                    [*(batch.column(c).take(pa.array(row)) for c in (*key, "hot", "lo", "hi")), pa.array((start - before).astype(np.int32)), *(pa.array(h[where]) for h in hashes)],
+                    [*key, "hot", "lo", "hi", "start", "h1", "h2"],
                 )
 
     singles = texts.filter(F.col("n_ctx") > group).drop("n_ctx").mapInArrow(
-        single_spans, "sig long, ctx long, before int, more int, lo long, hi long, start int, h1 long, h2 long"
+        single_spans, "sig long, ctx long, before int, more int, hot boolean, lo long, hi long, start int, h1 long, h2 long"
     )
-    twice = singles.groupBy("h1", "h2").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("h1", "h2", salts.alias("salt"))
+    twice = singles.groupBy("h1", "h2").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("n"))
+    twice = durable(twice.filter("lo <> hi").select("h1", "h2", (F.col("n") >= HOT).alias("hot")))
     settled = (
-        singles.withColumn("salt", F.pmod(F.xxhash64("ctx"), F.lit(SALT)).cast("int")).join(twice, ["h1", "h2", "salt"], "left_semi")
+        salted_join(singles.withColumnRenamed("hot", "hot_sig"), twice, ["h1", "h2"], "ctx", broadcast[0])
         .groupBy(*key)
-        .agg(F.collect_list(F.struct(F.col("start").alias("a"), F.col("start").alias("b"))).alias("ranges"))
+        .agg(F.max("hot_sig").alias("hot"), F.collect_list(F.struct(F.col("start").alias("a"), F.col("start").alias("b"))).alias("ranges"))
     )
-    ranges = whole.unionByName(compared).unionByName(settled).withColumn("salt", salts)
-    found = rows.withColumn("salt", salt).join(ranges, [*key, "salt"]).select("doc_id", "anchor", "s0", "more", F.explode("ranges").alias("r"))
+    ranges = whole.unionByName(compared).unionByName(settled)
+    # rows know whether their signature is hot, so only hot ranges are copied to all parts
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int")
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
+    found = rows.withColumn("salt", F.when(F.col("hot"), part).otherwise(0)).drop("hot").join(ranges.withColumn("salt", F.explode(parts)).drop("hot"), [*key, "salt"])
+    found = found.select("doc_id", "s0", "before", "more", F.explode("ranges").alias("r"))
     # a context holds the starts s0 .. s0 + more
-    a = F.greatest(F.col("anchor") + F.col("r.a"), F.col("s0"))
-    b = F.least(F.col("anchor") + F.col("r.b"), F.col("s0") + F.col("more"))
-    return merge_runs(found.select("doc_id", a.alias("a"), (b + span).alias("b")).filter(F.col("b") - F.col("a") >= span).distinct())
-
-
-def durable_rows(df: DataFrame) -> DataFrame:
-    """The windows of shared signatures are few and used twice; they are written out once."""
-    from wavetide.session import durable
-
-    return durable(df)
+    anchor = F.col("s0") + F.col("before")
+    a = F.greatest(anchor + F.col("r.a"), F.col("s0"))
+    b = F.least(anchor + F.col("r.b"), F.col("s0") + F.col("more"))
+    spans = found.select("doc_id", a.alias("a"), (b + span).alias("b")).filter(F.col("b") - F.col("a") >= span)
+    return merge_runs(spans.repartition("doc_id").distinct())  # both in one shuffle
+
+
+def salted_join(rows: DataFrame, keys: DataFrame, on: list[str], spread: str, most: int) -> DataFrame:
+    """The ``rows`` whose ``on`` stands in ``keys`` (each once, with ``hot``), with ``hot``. Up to ``most`` keys are broadcast.
+    Beyond, the hot ones, few as each has HOT rows at least, still are; rows of the others are met by a shuffle."""
+    if keys.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(keys), on)
+    hot = keys.filter("hot")
+    if hot.limit(most + 1).count() > most:  # then they are no outliers, but each row's part must be found
+        both = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+        return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALT)).cast("int")).join(keys.withColumn("_salt", both).hint("merge"), [*on, "_salt"]).drop("_salt")
+    marked = rows.join(F.broadcast(hot), on, "left").withColumn("_salt", F.when(F.col("hot"), F.pmod(F.xxhash64(spread), F.lit(SALT)).cast("int")).otherwise(0)).drop("hot")
+    copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
+    return marked.join(keys.withColumn("_salt", F.explode(copies)).hint("merge"), [*on, "_salt"]).drop("_salt")
 
 
 def merge_runs(spans: DataFrame) -> DataFrame:
