@@ -32,25 +32,33 @@ def orphans_by_hand(refs, terms):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("broadcast_rows", [50_000, 0])
-def test_orphans(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
+def report_by_hand(found):
+    out = {}
+    for t, day, _, k in found:
+        out.setdefault((t, day), []).append(k)
+    return sorted(((*g, len(v), len(set(v))) for g, v in out.items()), key=repr)
+
+
+@pytest.mark.parametrize(("broadcast_rows", "share"), [(50_000, 0.01), (0, 0.01), (0, 0.3), (3, 0.9)])
+def test_orphans(spark, monkeypatch, broadcast_rows, share):
     monkeypatch.setattr(skew.split_join, "__defaults__", (None, None, broadcast_rows))
     rng = random.Random(1)
     keys = ["HOT"] * 30 + [None, "A", "B", "C", "GONE"]
-    refs = [("picks", rng.choice(keys), rng.choice([None, -5, 0, 7, DAY, 3 * DAY]), i, 1, "x") for i in range(300)]
-    refs += refs[:5]  # repeated rows
-    terms = [("HOT", 0, DAY, 1), ("HOT", 2 * DAY, None, 2), ("A", None, None, 3), ("B", 5, 5, 4), (None, None, None, 5), ("C", 7, None, 6)]
-    got = orphans.orphan_references(spark.createDataFrame(refs, REFS), spark.createDataFrame(terms, TERMS))
-    assert rows(got) == orphans_by_hand(refs, terms)
+    refs = [("picks", rng.choice(keys), rng.choice([None, -5, 0, 7, DAY, DAY + 5, 3 * DAY]), i, 1, "x") for i in range(300)]
+    refs += [("traces", k, t, 1, 0, "y") for k in ("HOT", "A", "GONE") for t in (None, DAY - 1, DAY, 2 * DAY - 1, 2 * DAY)] + refs[:5]  # repeated rows
+    terms = [("HOT", 0, DAY, 1), ("HOT", DAY, DAY + 3, 1), ("HOT", 2 * DAY, None, 2), ("A", None, None, 3), ("B", 5, 5, 4), (None, None, None, 5), ("C", 7, None, 6)]
+    told = spark.createDataFrame(refs, REFS), spark.createDataFrame(terms, TERMS)
+    want = orphans_by_hand(refs, terms)
+    assert rows(orphans.orphan_references(*told, share, broadcast_rows)) == want
+    assert rows(orphans.orphan_report(*told, share, broadcast_rows)) == report_by_hand(want)
 
 
 def test_orphans_of_empty_tables(spark):
     none, no_terms = spark.createDataFrame([], REFS), spark.createDataFrame([], TERMS)
     some = spark.createDataFrame([("t", "A", None, 1, 0, "")], REFS)
-    assert rows(orphans.orphan_references(none, no_terms)) == []
+    assert rows(orphans.orphan_references(none, no_terms)) == rows(orphans.orphan_report(none, no_terms)) == []
     assert rows(orphans.orphan_references(some, no_terms)) == [("t", "none", 1, "A")]
-    assert rows(orphans.orphan_report(orphans.orphan_references(some, no_terms))) == [("t", "none", 1, 1)]
+    assert rows(orphans.orphan_report(some, no_terms)) == [("t", "none", 1, 1)]
 
 
 # 2

@@ -32,7 +32,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphans.orphan_report(p1_orphans(spark, sf_dir))
+    return orphans.orphan_report(references(spark, sf_dir), station_terms(table(spark, sf_dir, "stations")))
 
 
 # 2: implausible spikes in measurements
