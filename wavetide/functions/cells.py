@@ -48,13 +48,16 @@ class Cells:
         """Row and column at the deepest level of a point with a place."""
         rows = self.rows0 << self.deepest
         row = F.least(F.floor((lat + 90.0) * float(rows) / 180.0), F.lit(rows - 1))
-        row0 = F.shiftright(row, self.deepest)
+        n = self.columns_of(row, self.deepest)
+        return row, F.pmod(F.floor((lon + 180.0) * n / 360.0), n)
+
+    def columns_of(self, row: Column, level: int) -> Column:
+        """``columns`` of Spark's rows of a level."""
+        row0 = F.shiftright(row, level)
         a, b = row0 * 180.0 / self.rows0 - 90.0, (row0 + 1) * 180.0 / self.rows0 - 90.0
         low = F.when((a < 0) & (b > 0), 0.0).otherwise(F.least(F.abs(a), F.abs(b)))
-        n = F.lit((2 * self.rows0) << self.deepest)
-        for j, t in enumerate(HALVED_AT):
-            n = F.when(low >= t, F.lit(((2 * self.rows0) >> (j + 1)) << self.deepest)).otherwise(n)
-        return row, F.pmod(F.floor((lon + 180.0) * n / 360.0), n)
+        halved = sum(((low >= t).cast("int") for t in HALVED_AT), F.lit(0))
+        return F.call_function("shiftright", F.lit(2 * self.rows0).cast("long"), halved) * (1 << level)
 
     def bounds(self, row, col, level: int):
         """lat_lo, lat_hi, lon_mid, half_width of cells, in degrees."""
@@ -62,6 +65,12 @@ class Cells:
         width = 360.0 / self.columns(row, level)
         return row * 180.0 / rows - 90.0, (row + 1) * 180.0 / rows - 90.0, (col + 0.5) * width - 180.0, width / 2
 
+    def bounds_of(self, row: Column, col: Column, level: int) -> tuple[Column, Column, Column, Column]:
+        """``bounds`` of Spark's cells."""
+        rows = self.rows0 << level
+        width = F.lit(360.0) / self.columns_of(row, level)
+        return row * 180.0 / rows - 90.0, (row + 1) * 180.0 / rows - 90.0, (col + 0.5) * width - 180.0, width / 2
+
 
 def distances(lat_lo, lat_hi, lon, half, lat_lo2, lat_hi2, lon2, half2):
     """Least and greatest ground distance in km between points of two boxes (degrees; a point is a box of no size)."""
@@ -75,6 +84,19 @@ def distances(lat_lo, lat_hi, lon, half, lat_lo2, lat_hi2, lon2, half2):
     return KM_PER_DEGREE * np.hypot(cos_least * near, gap), KM_PER_DEGREE * np.hypot(cos_most * far, reach)
 
 
+def distances_of(a: tuple[Column, ...], b: tuple[Column, ...]) -> tuple[Column, Column]:
+    """``distances`` of Spark's boxes."""
+    (lat_lo, lat_hi, lon, half), (lat_lo2, lat_hi2, lon2, half2) = a, b
+    gap = F.greatest(lat_lo2 - lat_hi, lat_lo - lat_hi2, F.lit(0.0))
+    reach = F.greatest(lat_hi2 - lat_lo, lat_hi - lat_lo2)
+    apart = F.abs(F.pmod(lon2 - lon + 180.0, F.lit(360.0)) - 180.0)
+    near, far = F.greatest(apart - half - half2, F.lit(0.0)), F.least(apart + half + half2, F.lit(180.0))
+    mid_lo, mid_hi = F.radians((lat_lo + lat_lo2) / 2), F.radians((lat_hi + lat_hi2) / 2)
+    cos_least = F.greatest(F.least(F.cos(mid_lo), F.cos(mid_hi)), F.lit(0.0))
+    cos_most = F.when((mid_lo < 0) & (mid_hi > 0), 1.0).otherwise(F.greatest(F.cos(mid_lo), F.cos(mid_hi)))
+    return KM_PER_DEGREE * F.hypot(cos_least * near, gap), KM_PER_DEGREE * F.hypot(cos_most * far, reach)
+
+
 def band_gap(lo, hi, lo2, hi2):
     """Least and greatest difference between numbers of two ranges."""
     return np.maximum(np.maximum(lo2 - hi, lo - hi2), 0.0), np.maximum(hi2 - lo, hi - lo2)
