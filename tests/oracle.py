@@ -18,7 +18,7 @@ def connection(sf_dir: str):
 
 def cell(x):
     if isinstance(x, float):
-        return "nan" if math.isnan(x) else float(f"{x:.9g}")
+        return "nan" if math.isnan(x) else float(f"{x:.14g}")  # but for the last two of 16 digits
     if isinstance(x, list):
         return tuple(cell(y) for y in x)
     return x

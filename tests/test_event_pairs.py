@@ -149,6 +149,14 @@ def test_packed_files(spark, tmp_path):
         packed.pack(spark.createDataFrame([(1, None, 2)], "key long, dt_u6 int, cc_u6 int")).collect()
 
 
+def test_an_observation_of_an_unknown_station_is_an_error(spark):
+    obs = spark.createDataFrame([("1", "2", "N.A"), ("1", "2", "N.B")], "evid_a string, evid_b string, station string")
+    numbers = spark.createDataFrame([("N.A", 0), ("N.C", 1)], "station string, station_no int")
+    assert [r.station_no for r in merge.numbered(obs.filter("station = 'N.A'"), numbers).collect()] == [0]
+    with pytest.raises(Exception, match="no such station: N.B"):
+        merge.numbered(obs, numbers).collect()
+
+
 @pytest.mark.parametrize("at", [(1 << 20, 1, 0), (1, -1, 0), (1, 2, 1 << 10)])
 def test_a_number_without_room_in_the_key_is_an_error(spark, at):
     df = spark.createDataFrame([at], "a long, b long, s long")
@@ -252,6 +260,22 @@ def test_fast_traces_are_cut_quickly_and_in_little_room():
     tracemalloc.stop()
 
 
+def test_whole_traces_at_another_rate(spark):
+    cubic = lambda t: 1 + t - 0.02 * t**2 + 0.0001 * t**3
+    told = [("A", "Z", 1, 0, 5.0, cubic(np.arange(100) / 5).tolist()), ("A", "Z", 2, 7, 10.0, [1.0, 2.0]), ("A", "Z", 3, 7, 4.0, [1.0, 3.0]), ("A", "Z", 4, 7, 4.0, [])]
+    df = spark.createDataFrame(told, "station string, channel string, trace_id long, start_us long, rate double, data array<float>")
+    got = {r.trace_id: r for r in waveforms.resampled(df, 10.0).collect()}
+    assert len(got[1].data) == 199 and np.allclose(got[1].data, cubic(np.arange(199) / 10), rtol=1e-5)
+    assert got[2].data == [1.0, 2.0] and np.allclose(got[3].data, [1.0, 1.8, 2.6]) and got[4].data == [] and {r.rate for r in got.values()} == {10.0}
+
+
+def test_written_tasks(spark, tmp_path):
+    tasks = spark.createDataFrame([("A", k % 7, k) for k in range(50)] + [("B", 1, 1), ("B", 1, 1)], "station string, row_a int, row_b int")
+    sinks.write_tasks(tasks, str(tmp_path / "tasks"))
+    back = spark.read.parquet(str(tmp_path / "tasks"))
+    assert rows(back.select("station", "row_a", "row_b")) == rows(tasks)
+
+
 def test_station_days(spark):
     """Three traces a day are cut to their common stretch; two, four, unequal rates and traces apart give nothing."""
     t0 = 1_000_000_000_000_000
@@ -367,6 +391,13 @@ def test_catalogue_text(spark, tmp_path):
     assert rows(picks.select("evid", "station", "tp_us", "ts_us")) == sorted([("111", "N.A", 1534296604500000, None), ("111", "N.B", None, 1534377600123456), ("112", "N.A", None, None)], key=repr)
 
 
+def test_times_as_text(spark):
+    told = {"2018-08-15T01:30:02.859Z": 1534296602859000, " 2018-08-15 01:30:02\t": 1534296602000000, "2018-08-15T01:30:02.1234567Z": 1534296602123456, "2018-08-15T01:30:02.5": 1534296602500000, "1969-12-31T23:59:59.9Z": -100000}
+    bad = ["-1", "", "2018-08-15", "2018-13-15T01:30:02Z", "2018-08-15T01:30:02.Z", "2018-08-15T01:30:02.5ZZ", "x2018-08-15T01:30:02Z", None]
+    df = spark.createDataFrame([(t,) for t in [*told, *bad]], "t string")
+    assert {r.t: r.us for r in df.select("t", catalog.time_micros(F.col("t")).alias("us")).collect()} == {**told, **dict.fromkeys(bad)}
+
+
 def test_header_is_carried_over_splits(spark):
     value = ["2018-08-15T01:30:02Z,1,2,3,4,e1", "A,-1,-1", "B,-1,-1", "C,-1,-1", "2018-08-15T01:30:03Z,1,2,3,4,e2", "D,-1,-1"]
     lines = spark.createDataFrame([("f", k // 2, k, v) for k, v in enumerate(value)] + [("g", 0, 0, "E,-1,-1")], "file string, split long, ord long, value string")
@@ -377,8 +408,8 @@ def test_header_is_carried_over_splits(spark):
 
 
 def test_stations_and_observations(spark, tmp_path):
-    (tmp_path / "s.sta").write_text("N.A,1,2,3,x,y,z\n n.a ,4,5,6\n\nN.B,7,8,9\n")
-    assert rows(catalog.parse_stations(catalog.read_lines(spark, str(tmp_path)))) == [("N.A", 4.0, 5.0, 6.0), ("N.B", 7.0, 8.0, 9.0)]
+    (tmp_path / "s.sta").write_text("N.A,1,2,3,x,y,z\n n.a ,4,5,6\n\nN.B,7,8,9\nN.C,NaN,x,\n")
+    assert rows(catalog.parse_stations(catalog.read_lines(spark, str(tmp_path)))) == [("N.A", 4.0, 5.0, 6.0), ("N.B", 7.0, 8.0, 9.0), ("N.C", None, None, None)]
     lines = lambda *x: spark.createDataFrame([(v, 0, k) for k, v in enumerate(x)], "value string, split long, ord long")
     got = catalog.parse_observations(lines("1 2 N.A P -0.5 0.123456", "", " 3 4 N.B S 1 +0.9 "))
     assert rows(got.drop("split", "ord")) == [(1, 2, "N.A", "P", -500000, 123456), (3, 4, "N.B", "S", 1000000, 900000)]

@@ -28,6 +28,13 @@ def test_pending(spark):
     assert sorted(r.k for r in daily.pending(asked, done).collect()) == [2, 3]
 
 
+def test_days_without_windows_are_marked_too(spark, tmp_path):
+    asked = spark.createDataFrame([("A", "1", 1), ("A", "2", 2), ("B", "1", 3)], "station string, day string, k int")
+    daily.mark_done(asked.filter("k = 1"), str(tmp_path / "done"))
+    daily.mark_done(asked.filter("k = 3"), str(tmp_path / "done"))
+    assert [r.k for r in daily.pending(asked, spark.read.parquet(str(tmp_path / "done"))).collect()] == [2]
+
+
 def test_arrivals_in_a_stream_equal_those_of_a_table(spark, tmp_path):
     path = f"{DATA}/sf0.001"
     table = spark.read.parquet(f"{path}/traces.parquet")

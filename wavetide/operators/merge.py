@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,9 +49,17 @@ def last_observations(obs: DataFrame) -> DataFrame:
 
 
 def well_observed(obs: DataFrame, num_sta: int) -> DataFrame:
-    """Observations of pairs that are seen at ``num_sta`` stations at least, whatever the phase."""
-    enough = obs.groupBy("evid_a", "evid_b").agg(F.count_distinct("station").alias("n_sta")).filter(F.col("n_sta") >= num_sta)
-    return obs.join(enough.drop("n_sta"), ["evid_a", "evid_b"], "left_semi")
+    """Observations of pairs that are seen at ``num_sta`` stations at least, whatever the phase. A pair has two of each station
+    at most, so its rows are counted where they stand."""
+    stations = F.size(F.collect_set("station").over(W.partitionBy("evid_a", "evid_b")))
+    return obs.withColumn("_n_sta", stations).filter(F.col("_n_sta") >= num_sta).drop("_n_sta")
+
+
+def numbered(obs: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``obs`` with station_no (``numbers``: station, station_no). An observation of a station without number is an error."""
+    met = obs.join(numbers.select("station", F.col("station_no").alias("_no")), "station", "left")
+    miss = F.raise_error(F.concat(F.lit("no such station: "), F.coalesce("station", F.lit("null")))).cast("int")
+    return met.withColumn("station_no", F.when(F.col("_no").isNotNull(), F.col("_no")).otherwise(miss)).drop("_no")
 
 
 @F.pandas_udf(T.StringType())

@@ -12,14 +12,18 @@ from wavetide.functions.columns import DAY_US, KM_PER_DEGREE, ground_km
 
 def band_cells(lat: Column, lon: Column, half_km: float) -> tuple[Column, Column]:
     """Row and column of a point in a grid whose rows are ``half_km`` high; columns are that wide at the rows' far edge."""
-    height = half_km / KM_PER_DEGREE * (1 + 1e-9)
-    row = F.floor(lat / height)
+    row = F.floor(lat / band_height(half_km))
     return row, F.floor(lon / band_width(row, half_km))
 
 
+def band_height(half_km: float) -> float:
+    """Height of a row in degrees."""
+    return half_km / KM_PER_DEGREE * (1 + 1e-9)
+
+
 def band_width(row: Column, half_km: float) -> Column:
     """Width of a column in degrees: a fixed function of the row, never narrower than the band at the row itself."""
-    height = half_km / KM_PER_DEGREE * (1 + 1e-9)
+    height = band_height(half_km)
     edge = F.least(F.greatest(F.abs(row * height), F.abs((row + 1) * height)), F.lit(89.0))
     return F.lit(height) / F.cos(F.radians(edge))
 
@@ -31,22 +35,28 @@ def candidate_edges(records: DataFrame, config: Config) -> DataFrame:
     within its own inclusive; one of both is a template; both share ``num_sta`` stations. Of these the nearest in three
     dimensions are kept up to place ``max_nbr`` + 1, ties included. Longitudes are not wrapped.
 
-    The band join is an equi-join on grid cells: a reference is copied to the cells its box meets, a candidate stays in
-    its one cell, and the exact box follows as a filter, cheap conditions before the sets of stations.
+    The band join is an equi-join on cells of place, depth and time, each twice as wide as the limit (time: four times): a
+    reference is copied to the cells its box meets, about twelve, a candidate stays in its one cell, and the exact box
+    follows as a filter, cheap conditions before the sets of stations. So events of other depths or years do not meet.
     """
     half = config.loc_dev
-    row, col = band_cells(F.col("lat"), F.col("lon"), half)
+    depth, time = 2 * config.dep_dev, int(4 * config.cal_win_days * DAY_US)
+    row, col = band_cells(F.col("lat"), F.col("lon"), 2 * half)
     names = ["evid", "ot_us", "lat", "lon", "dep", "stations", "is_temp"]
-    cand = records.select(*[F.col(c).alias(f"c_{c}") for c in names], row.alias("row"), col.alias("col"))
+    cell = lambda x, size: F.floor(x / F.lit(float(size)))
+    cand = records.select(*[F.col(c).alias(f"c_{c}") for c in names], row.alias("row"), col.alias("col"), cell(F.col("dep"), depth).alias("band"), cell(F.col("ot_us"), time).alias("slice"))
     reach = F.lit(half / KM_PER_DEGREE) / F.greatest(F.cos(F.radians("lat")), F.lit(1e-6)) * (1 + 1e-9)
     reach = F.least(reach, F.lit(360.0))
-    ref = records.select(*names, row.alias("_row")).withColumn("row", F.explode(F.sequence(F.col("_row") - 1, F.col("_row") + 1)))
-    width = band_width(F.col("row"), half)
-    ref = ref.withColumn("col", F.explode(F.sequence(F.floor((F.col("lon") - reach) / width), F.floor((F.col("lon") + reach) / width)))).drop("_row")
+    north_reach = half / KM_PER_DEGREE * (1 + 1e-9)
+    span = lambda x, d, size: F.explode(F.sequence(cell(x - d, size), cell(x + d, size)))
+    ref = records.select(*names, span(F.col("lat"), north_reach, band_height(2 * half)).alias("row")).withColumn("width", band_width(F.col("row"), 2 * half))
+    ref = ref.withColumn("col", F.explode(F.sequence(F.floor((F.col("lon") - reach) / F.col("width")), F.floor((F.col("lon") + reach) / F.col("width"))))).drop("width")
+    ref = ref.withColumn("band", span(F.col("dep"), config.dep_dev, depth))
+    ref = ref.withColumn("slice", span(F.col("ot_us"), int(config.cal_win_days * DAY_US), time))
     cos = F.cos(F.col("lat") * F.lit(3.141592653589793) / 180.0)
     north, east = KM_PER_DEGREE * F.abs(F.col("c_lat") - F.col("lat")), KM_PER_DEGREE * F.abs(F.col("c_lon") - F.col("lon")) * cos
     deep = F.abs(F.col("c_dep") - F.col("dep"))
-    near = ref.join(cand, ["row", "col"]).filter(
+    near = ref.join(cand, ["row", "col", "band", "slice"]).filter(
         (north < half) & (east < half) & (deep < config.dep_dev) & (F.abs(F.col("c_ot_us") - F.col("ot_us")) <= config.cal_win_days * DAY_US) & (F.col("is_temp") | F.col("c_is_temp"))
     )
     near = near.filter(F.size(F.array_intersect("stations", "c_stations")) >= config.num_sta)

@@ -66,6 +66,24 @@ def station_days(traces: DataFrame) -> DataFrame:
     return told.withColumn("start_us", first).select("station", "day", "channel", "trace_id", "start_us", "rate", F.slice("data", F.col("_skip") + 1, F.col("_keep")).alias("data"))
 
 
+def resampled(traces: DataFrame, rate: float) -> DataFrame:
+    """``traces`` (as of ``clean_traces``) at ``rate`` samples a second, by a cubic spline; those that have it stay as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, lengths = flat(batch.column("data"))
+            own = batch.column("rate").to_numpy(zero_copy_only=False)
+            out = []
+            for x, r in zip(np.split(values, np.cumsum(lengths)[:-1]), own):
+                at = np.arange(int((len(x) - 1) / r * rate + 1e-9) + 1) * (r / rate) if len(x) else np.zeros(0)
+                out.append(x if r == rate or not len(x) else K.interpolated(x[None], np.minimum(at, len(x) - 1))[0])
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*out, np.zeros(0)]).astype(np.float32)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("station", "channel", "trace_id", "start_us")), pa.array(np.full(len(out), rate)), lists], ["station", "channel", "trace_id", "start_us", "rate", "data"])
+
+    return traces.select("station", "channel", "trace_id", "start_us", "rate", "data").mapInArrow(run, "station string, channel string, trace_id long, start_us long, rate double, data array<float>")
+
+
 def hour_pieces(traces: DataFrame, before_s: float, after_s: float) -> DataFrame:
     """``traces`` cut by the hours (since 1970) that they touch: hour, piece, skipped (samples before the piece), npts (of
     the trace) in place of data. A piece reaches ``before_s`` and ``after_s`` seconds beyond its hour, as far as the trace goes."""
@@ -249,7 +267,7 @@ def correlated_times(station_pairs: DataFrame, windows: DataFrame, config: Confi
 
 def differential_times(station_pairs: DataFrame, windows: DataFrame, config: Config) -> DataFrame:
     """``correlated_times`` of the pairs of events that agree at ``num_sta`` stations at least."""
-    return well_observed(durable(correlated_times(station_pairs, windows, config)), config.num_sta)
+    return well_observed(correlated_times(station_pairs, windows, config), config.num_sta)
 
 
 def paired_windows(station_pairs: DataFrame, windows: DataFrame) -> DataFrame:

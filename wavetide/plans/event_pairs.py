@@ -126,7 +126,8 @@ def station_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = table(spark, sf_dir, "pairs").filter("evid_a <> evid_b").select("evid_a", "evid_b", F.coalesce("n_common", F.lit(-1)).alias("ordinal"))
     origins = _quakes(spark, sf_dir).filter("ot is not null").select("evid", micros(F.col("ot")).alias("ot_us"))
-    return merge.catalogue_observations(told, last_picks(spark, sf_dir), origins, (0.5, 0.8))
+    obs = merge.catalogue_observations(told, last_picks(spark, sf_dir), origins, (0.5, 0.8))
+    return obs.withColumn("cc_u6", F.col("cc_u6") - F.col("ordinal"))  # a pair told again has another weight
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +143,8 @@ def dt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = observations(spark, sf_dir).join(catalog.station_numbers(station_places(table(spark, sf_dir, "stations"))), "station")
+    numbers = catalog.station_numbers(station_places(table(spark, sf_dir, "stations")))
+    obs = merge.numbered(observations(spark, sf_dir).join(numbers.select("station"), "station", "left_semi"), numbers)
     index = _quakes(spark, sf_dir).select("evid", "ord")
     side = lambda k: index.select(F.col("evid").alias(f"evid_{k}"), F.col("ord").alias(f"ord_{k}"))
     return obs.join(side("a"), "evid_a").join(side("b"), "evid_b").select(merge.packed(F.col("ord_a"), F.col("ord_b"), F.col("station_no"), F.col("phase")).alias("key"), "dt_u6", "cc_u6")
@@ -260,8 +262,9 @@ sp AS (SELECT evid_a, evid_b, station FROM far WHERE least(da, db) <= 300 AND gr
 _TASKS = f"t AS (SELECT * REPLACE ({CODE.format('station')} AS station) FROM tasks WHERE {CODE.format('station')} IS NOT NULL)"
 _OBS = f"""{_Q}, {_LP}, rel AS (SELECT evid, station, tp_us - ot_us AS p, ts_us - ot_us AS s FROM lp JOIN q USING (evid) WHERE ot_us IS NOT NULL),
 both_ AS (SELECT evid_a, evid_b, a.station, coalesce(n_common, -1) AS ordinal, a.p - b.p AS p, a.s - b.s AS s FROM pairs JOIN rel a ON a.evid = evid_a JOIN rel b ON b.evid = evid_b AND a.station = b.station WHERE evid_a <> evid_b),
-obs AS (SELECT DISTINCT evid_a, evid_b, station, 'P' AS phase, CAST(p AS INTEGER) AS dt_u6, CAST(round_even((1.0::DOUBLE - abs(p)::DOUBLE / 500000) * 1e6, 0) AS INTEGER) AS cc_u6 FROM both_ WHERE abs(p) <= 500000
-  UNION ALL SELECT DISTINCT evid_a, evid_b, station, 'S', CAST(s AS INTEGER), CAST(round_even((1.0::DOUBLE - abs(s)::DOUBLE / 800000) * 1e6, 0) AS INTEGER) FROM both_ WHERE abs(s) <= 800000),
+told AS (SELECT evid_a, evid_b, station, ordinal, 'P' AS phase, CAST(p AS INTEGER) AS dt_u6, CAST(round_even((1.0::DOUBLE - abs(p)::DOUBLE / 500000) * 1e6, 0) AS INTEGER) - ordinal AS cc_u6 FROM both_ WHERE abs(p) <= 500000
+  UNION ALL SELECT evid_a, evid_b, station, ordinal, 'S', CAST(s AS INTEGER), CAST(round_even((1.0::DOUBLE - abs(s)::DOUBLE / 800000) * 1e6, 0) AS INTEGER) - ordinal FROM both_ WHERE abs(s) <= 800000),
+obs AS (SELECT evid_a, evid_b, station, phase, arg_max(dt_u6, ordinal) AS dt_u6, arg_max(cc_u6, ordinal) AS cc_u6 FROM told GROUP BY ALL),
 well AS (SELECT * FROM obs WHERE (evid_a, evid_b) IN (SELECT (evid_a, evid_b) FROM obs GROUP BY evid_a, evid_b HAVING count(DISTINCT station) >= 4))"""
 
 SQL: dict[str, str] = {
@@ -280,10 +283,10 @@ SELECT station, day, CAST(count(*) AS INTEGER) AS n, string_agg(evid, ' ' ORDER
 SELECT station, row_a, row_b, a.evid AS evid_a, b.evid AS evid_b FROM t JOIN e a ON a.k = event_idx_a JOIN e b ON b.k = event_idx_b""",
     "task_manifest": f"WITH {_TASKS} SELECT station, count(*) AS n_tasks, max(greatest(row_a, row_b)) AS last_row, min(event_idx_a) AS first_event FROM t GROUP BY ALL",
     "station_rows": f"WITH {_TASKS} SELECT station, event_idx, max(row) AS row FROM (SELECT station, event_idx_a AS event_idx, row_a AS row FROM t UNION ALL SELECT station, event_idx_b, row_b FROM t) GROUP BY ALL",
-    "catalogue_events": f"WITH {_Q} SELECT evid, ot_us, coalesce(lat, 'nan'::DOUBLE) AS lat, coalesce(lon, 'nan'::DOUBLE) AS lon, coalesce(dep, 'nan'::DOUBLE) AS dep, coalesce(mag, 'nan'::DOUBLE) AS mag FROM q WHERE ot_us IS NOT NULL",
+    "catalogue_events": f"WITH {_Q} SELECT evid, ot_us, CASE WHEN isnan(lat) THEN NULL ELSE lat END AS lat, CASE WHEN isnan(lon) THEN NULL ELSE lon END AS lon, CASE WHEN isnan(dep) THEN NULL ELSE dep END AS dep, CASE WHEN isnan(mag) THEN NULL ELSE mag END AS mag FROM q WHERE ot_us IS NOT NULL",
     "catalogue_picks": f"WITH {_Q}, {_LP} SELECT evid, station, tp_us, ts_us, line_no FROM named JOIN q USING (evid) WHERE station IS NOT NULL AND ot_us IS NOT NULL",
     "named_catalogue": f"WITH {_Q} SELECT evid, waveform_id AS name, ot_us FROM q WHERE ot_us > 1073433600000000 AND ot_us < 1074211200000000",
-    "station_list": f"SELECT station, unnest(s) FROM (SELECT {CODE.format('net_sta')} AS station, arg_max(struct_pack(lat := lat, lon := lon, ele := ele), line_no) AS s FROM stations GROUP BY ALL) WHERE station IS NOT NULL",
+    "station_list": f"SELECT station, CASE WHEN isnan(s.lat) THEN NULL ELSE s.lat END AS lat, CASE WHEN isnan(s.lon) THEN NULL ELSE s.lon END AS lon, CASE WHEN isnan(s.ele) THEN NULL ELSE s.ele END AS ele FROM (SELECT {CODE.format('net_sta')} AS station, arg_max(struct_pack(lat := lat, lon := lon, ele := ele), line_no) AS s FROM stations GROUP BY ALL) WHERE station IS NOT NULL",
     "observations": f"WITH {_OBS} SELECT * FROM obs",
     "well_observed": f"WITH {_OBS} SELECT * FROM well",
     "dt_lines": f"""WITH {_OBS} SELECT evid_a, evid_b, printf('# %9d %9d 0.0', CAST(evid_a AS BIGINT), CAST(evid_b AS BIGINT)) || chr(10) ||

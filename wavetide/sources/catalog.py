@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wavetide.functions.columns import DAY_US, station_code
 
-ISO_TIME = r"^\s*(\d{4})-(\d{2})-(\d{2})[T ](\d{2}):(\d{2}):(\d{2})(\.\d{1,6})?\d*Z?\s*$"
+ISO_TIME = r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d)?\d*Z?\s*$"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -19,12 +19,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def time_micros(text: Column) -> Column:
     """Microseconds since 1970 of an ISO time in UTC; further decimals are cut off. Null for '-1' and for any other text."""
-    part = lambda k: F.regexp_extract(text, ISO_TIME, k)
-    day = F.datediff(F.try_to_date(F.concat_ws("-", part(1), part(2), part(3)), "yyyy-MM-dd"), F.lit("1970-01-01").cast("date")).cast("long")
+    bare = F.replace(F.btrim(text, F.lit(" \t\n\r\f\v")), F.lit("Z"), F.lit(""))  # what matches has its fields at fixed places
+    part = lambda at, n: F.substring(bare, at, n)
+    day = F.datediff(F.try_to_date(part(1, 10), "yyyy-MM-dd"), F.lit("1970-01-01").cast("date")).cast("long")
     clock = F.expr("0L")
-    for k, scale in ((4, 3600), (5, 60), (6, 1)):
-        clock = clock + part(k).try_cast("long") * scale
-    fraction = F.rpad(F.substring(part(7), 2, 6), 6, "0").try_cast("long")
+    for at, scale in ((12, 3600), (15, 60), (18, 1)):
+        clock = clock + part(at, 2).try_cast("long") * scale
+    fraction = F.when(part(20, 1) == ".", F.rpad(part(21, 6), 6, "0").try_cast("long")).otherwise(0)
     return F.when(text.rlike(ISO_TIME), day * DAY_US + clock * 1_000_000 + fraction)
 
 
@@ -46,6 +47,12 @@ def _fields(value: Column) -> Column:
     return F.transform(F.split(value, ","), lambda x: F.trim(x))
 
 
+def _number(text: Column) -> Column:
+    """The number of a text; null for any other text, 'nan' included."""
+    x = text.try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def parse_catalogue(lines: DataFrame, header_chars: int = 11) -> tuple[DataFrame, DataFrame]:
     """events (evid, ot_us, lat, lon, dep, mag, file, split, ord) and picks (evid, ot_us, station, tp_us, ts_us, file, split, ord).
 
@@ -59,7 +66,7 @@ def parse_catalogue(lines: DataFrame, header_chars: int = 11) -> tuple[DataFrame
     header = F.struct(F.element_at("f", -1).alias("evid"), time_micros(at(0)).alias("ot_us"))
     told = carry_header(lines, is_header, header).filter("head is not null")
     told = told.withColumn("is_header", is_header)
-    number = lambda k: at(k).try_cast("double")
+    number = lambda k: _number(at(k))
     place = ["file", "split", "ord"]
     events = told.filter("is_header").select("head.evid", "head.ot_us", number(1).alias("lat"), number(2).alias("lon"), number(3).alias("dep"), number(4).alias("mag"), *place)
     picks = told.filter("not is_header").select("head.evid", "head.ot_us", at(0).alias("station"), time_micros(at(1)).alias("tp_us"), time_micros(at(2)).alias("ts_us"), *place)
@@ -81,9 +88,10 @@ def parse_named_catalogue(lines: DataFrame, after_us: int | None = None, before_
 
 
 def parse_stations(lines: DataFrame) -> DataFrame:
-    """station, lat, lon, ele of lines 'NET.STA,lat,lon,elevation,...'; of a repeated code the last line counts."""
+    """station, lat, lon, ele of lines 'NET.STA,lat,lon,elevation,...'; of a repeated code the last line counts.
+    Numbers that are none, 'nan' included, are null."""
     f = _fields(F.col("value"))
-    rows = lines.filter(F.trim("value") != "").select(station_code(F.get(f, F.lit(0))).alias("station"), *[F.get(f, F.lit(k)).try_cast("double").alias(n) for k, n in ((1, "lat"), (2, "lon"), (3, "ele"))], "split", "ord")
+    rows = lines.filter(F.trim("value") != "").select(station_code(F.get(f, F.lit(0))).alias("station"), *[_number(F.get(f, F.lit(k))).alias(n) for k, n in ((1, "lat"), (2, "lon"), (3, "ele"))], "split", "ord")
     return rows.filter("station is not null").groupBy("station").agg(F.max_by(F.struct("lat", "lon", "ele"), F.struct("split", "ord")).alias("s")).select("station", "s.*")
 
 

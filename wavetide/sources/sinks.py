@@ -12,6 +12,13 @@ def write_windows(windows: DataFrame, path: str, only_new: bool = False) -> None
     windows.repartition("station", F.pmod(F.xxhash64("evid"), F.lit(16))).write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", "zstd").partitionBy("station").parquet(path)
 
 
+def write_tasks(tasks: DataFrame, path: str) -> None:
+    """Stored tasks (station, row_a, row_b, ...) as Parquet by station, in the order of their rows; a station's tasks are cut
+    into 16 files by row_a, so that one with very many is not one task's work."""
+    parts = tasks.repartition("station", F.pmod(F.xxhash64("row_a"), F.lit(16))).sortWithinPartitions("station", "row_a", "row_b")
+    parts.write.mode("overwrite").option("compression", "zstd").partitionBy("station").parquet(path)
+
+
 def write_dt_text(blocks: DataFrame, path: str) -> None:
     """Text blocks (evid_a, evid_b, block) in the order of their numeric evids, in as many files as the sort has ranges;
     the files' names sort as their contents."""

@@ -15,6 +15,12 @@ def pending(requests: DataFrame, done: DataFrame) -> DataFrame:
     return requests.join(done.select("station", "day").distinct(), ["station", "day"], "left_anti")
 
 
+def mark_done(requests: DataFrame, path: str) -> None:
+    """Adds the stations and days of ``requests`` to the marks under ``path``, those that gave no window too; read back as Parquet
+    they are the ``done`` of ``pending``."""
+    requests.select("station", "day").distinct().write.mode("append").parquet(path)
+
+
 def cut_new_traces(spark: SparkSession, source: str, schema: StructType, cut: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Runs ``cut`` over the trace files that appear under ``source`` and adds its rows under ``target``, one folder per batch.
 
