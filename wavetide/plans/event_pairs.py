@@ -221,6 +221,42 @@ def differential_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return waveforms.differential_times(told, waveforms.event_windows(windows, CHAIN), CHAIN)
 
 
+#: Samples of a trace that serve as its station's wave, and by how many at most an event's windows begin later.
+WAVE, DELAYS = 80, 9
+
+
+def delayed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differential times of all station pairs with a known answer: a station's windows are stretches of one of its traces (the
+    first with a sound beginning), an event's begin its ord modulo DELAYS samples late. So each pair agrees wholly, at the
+    difference of the delays less the one sample of the convention."""
+    data = F.slice("data", 1, WAVE)
+    sound = (F.size("data") >= WAVE) & F.forall(data, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) <= 8_388_607), F.lit(False))) & (F.size(F.array_distinct(data)) >= WAVE - 10)
+    waves = table(spark, sf_dir, "traces").withColumn("station", station_code(F.col("station"))).filter("station is not null").filter(sound)
+    waves = waves.groupBy("station").agg(F.min_by(data, "trace_id").alias("wave"))
+    told = durable(station_pairs(spark, sf_dir))
+    named = told.select("station", F.explode(F.array("evid_a", "evid_b")).alias("evid")).distinct()
+    late = _quakes(spark, sf_dir).select("evid", (F.col("ord") % DELAYS).cast("int").alias("late"))
+    p, s = (F.slice("wave", F.col("late") + 1, spec.data_npts) for spec in CHAIN.phases().values())
+    at = lambda name: F.lit(0.0).cast("float").alias(name)
+    windows = named.join(waves, "station").join(late, "evid")
+    windows = windows.select("station", "evid", at("tp_rel"), at("ts_rel"), F.lit(True).alias("has_p"), F.lit(True).alias("has_s"), F.array(p).alias("p_data"), F.array(s, s).alias("s_data"))
+    return waveforms.differential_times(told, windows, CHAIN.but(cc_thres=0.9, scc_thres=None))
+
+
+#: Rates of the tables' traces.
+RATES = (1.0, 2.0, 4.0, 5.0, 10.0)
+
+
+def window_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples of all windows cut at the traces' own rates, without the band-pass, which SQL cannot say."""
+    clean, picked = _clean(spark, sf_dir), _picked(spark, sf_dir)
+    out = None
+    for rate in RATES:
+        cut = waveforms.cut_windows(picked, clean.filter(F.col("rate") == rate), SLOW.but(freq_band=(None, None), samp_rate=rate))
+        out = cut.withColumn("rate", F.lit(rate)) if out is None else out.unionByName(cut.withColumn("rate", F.lit(rate)))
+    return out.select("station", "channel", "rate", "evid", "phase", F.posexplode("window").alias("i", "v")).withColumn("v", F.col("v").cast("double"))
+
+
 def differential_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.dt_lines(differential_times(spark, sf_dir))
 
@@ -238,7 +274,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         last_picks, event_ids, travel_times, cut_requests, event_records, nearest_edges, candidate_pairs, station_pairs, station_pair_counts, task_events, task_manifest, station_rows,
-        catalogue_events, catalogue_picks, named_catalogue, station_list, observations, well_observed, dt_lines, packed_observations, packed_records, observation_lines, clean_traces, cut_windows, window_correlations, correlated_times, differential_times, differential_lines, vector_correlations,
+        catalogue_events, catalogue_picks, named_catalogue, station_list, observations, well_observed, dt_lines, packed_observations, packed_records, observation_lines, clean_traces, cut_windows, window_correlations, correlated_times, differential_times, differential_lines, delayed_times, window_samples, vector_correlations,
     )
 }
 
@@ -302,6 +338,21 @@ SELECT ((ea << 20) | eb) << 11 | (no << 1) | CASE WHEN phase = 'S' THEN 1 ELSE 0
 tr AS (SELECT {CODE.format("station")} AS station, channel, epoch_us(starttime) AS a, sampling_rate AS rate, len(data) AS n FROM traces WHERE starttime IS NOT NULL AND sampling_rate >= 0.001 AND sampling_rate < 1e6 AND len(data) > 0)
 SELECT DISTINCT station, channel, evid, k.phase AS phase, CAST((k.at_us - ot_us) / 1e6 AS FLOAT) AS t_rel, CAST(k.npts AS INTEGER) AS npts FROM asks JOIN tr USING (station)
   WHERE k.b >= a AND k.e <= a + CAST(trunc((n - 1) / rate * 1e6) AS BIGINT) AND (round_even((k.b - a) / 1e6 * 10, 0) + k.npts - 1) * (rate / 10) <= n - 1 + 1e-9""",
+    "delayed_times": f"""WITH {_SP}, waves AS (SELECT DISTINCT {CODE.format("station")} AS station FROM traces
+  WHERE len(data) >= 80 AND len(list_filter(data[1:80], lambda x: x IS NULL OR isnan(x) OR abs(x) > 8388607)) = 0 AND len(list_distinct(data[1:80])) >= 70),
+late AS (SELECT evid_a, evid_b, station, (b.ord % 9) - (a.ord % 9) AS later FROM sp JOIN q a ON a.evid = evid_a JOIN q b ON b.evid = evid_b WHERE station IN (SELECT station FROM waves))
+SELECT evid_a, evid_b, station, phase, CAST((later - 1) * 100000 AS INTEGER) AS dt_u6, 1000000 AS cc_u6 FROM late, (SELECT unnest(['P', 'S']) AS phase)
+  QUALIFY count(*) OVER (PARTITION BY evid_a, evid_b, phase) >= 4""",
+    "window_samples": f"""WITH {_Q}, {_LP}, asks AS (SELECT evid, station, unnest([struct_pack(phase := 'P', b := tp_us - 1500000, e := tp_us + 3500000, seconds := 5),
+  struct_pack(phase := 'S', b := ts_us - 2000000, e := ts_us + 5000000, seconds := 7)]) AS k FROM lp JOIN q USING (evid) WHERE ot_us IS NOT NULL),
+tr AS (SELECT trace_id, {CODE.format("station")} AS station, channel, epoch_us(starttime) AS a, sampling_rate AS rate, len(data) AS n, data FROM traces WHERE starttime IS NOT NULL AND sampling_rate IN {RATES} AND len(data) > 0),
+hits AS (SELECT station, channel, rate, evid, k.phase AS phase, any_value(k.seconds * rate) AS npts, min(trace_id) AS trace_id, arg_min(CAST(round_even((k.b - a) / 1e6 * rate, 0) AS BIGINT), trace_id) AS first FROM asks JOIN tr USING (station)
+  WHERE k.b >= a AND k.e <= a + CAST(trunc((n - 1) / rate * 1e6) AS BIGINT) AND round_even((k.b - a) / 1e6 * rate, 0) + k.seconds * rate - 1 <= n - 1 GROUP BY ALL),
+smp AS (SELECT trace_id, rate, n, generate_subscripts(data, 1) - 1 AS i, CAST(unnest(data) AS DOUBLE) AS y FROM tr WHERE trace_id IN (SELECT trace_id FROM hits)),
+zer AS (SELECT * REPLACE (CASE WHEN y IS NULL OR NOT isfinite(y) THEN 0 ELSE y END AS y) FROM smp),
+fit AS (SELECT trace_id, avg(y) AS mean, coalesce(regr_slope(y, i), 0) AS slope, least(CAST(floor(0.05 * any_value(n)) AS BIGINT), CAST(10 * any_value(rate) AS BIGINT), any_value(n) // 2) AS m FROM zer GROUP BY trace_id),
+clean AS (SELECT trace_id, i, (y - mean - slope * (i - (n - 1) / 2)) * CASE WHEN i < m THEN 0.5 * (1 - cos(pi() * i / m)) WHEN i >= n - m THEN 0.5 * (1 - cos(pi() * (n - 1 - i) / m)) ELSE 1 END AS v FROM zer JOIN fit USING (trace_id))
+SELECT station, channel, hits.rate, evid, phase, CAST(i - first AS INTEGER) AS i, CAST(CAST(v AS FLOAT) AS DOUBLE) AS v FROM hits JOIN clean USING (trace_id) WHERE i BETWEEN first AND first + npts - 1""",
     "vector_correlations": """WITH p AS (SELECT a.vec_id, b.vec_id AS other, a.embedding AS x, b.embedding AS y FROM embeddings a JOIN embeddings b ON b.vec_id - a.vec_id BETWEEN 1 AND 3),
 g AS (SELECT vec_id, other, lag, x[lag + 1 + i]::DOUBLE AS u, y[16 + i]::DOUBLE AS v FROM p, generate_series(0, 31) l(lag), generate_series(1, 32) k(i)),
 c AS (SELECT vec_id, other, lag, abs(coalesce(corr(u, v), 0)) AS cc FROM g GROUP BY ALL),
