@@ -9,7 +9,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavetide.llm.codes import text_pieces
@@ -17,13 +18,24 @@ from wavetide.llm.codes import text_pieces
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
 
+def ship(spark: SparkSession, path: str) -> None:
+    """Sends the tokenizer's file to all executors, which need not have it at its path."""
+    if os.path.exists(path):
+        spark.sparkContext.addFile(path)
+
+
+def _held(path: str) -> str:
+    """The file at its path, or as it was sent."""
+    return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+
+
 @functools.lru_cache(maxsize=4)
 def tokenizer(path: str):
     """The tokenizer of a file, once per worker; strings of special tokens are plain text to it."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
     from tokenizers import Tokenizer
 
-    own = Tokenizer.from_file(path)
+    own = Tokenizer.from_file(_held(path))
     own.encode_special_tokens = True
     return own
 
@@ -38,7 +50,7 @@ def byte_of_character() -> dict[str, int]:
 @functools.lru_cache(maxsize=4)
 def token_bytes(path: str) -> tuple[list[bytes], np.ndarray]:
     """The bytes of each id of a byte-level vocabulary, and their number."""
-    with open(path, encoding="utf-8") as f:
+    with open(_held(path), encoding="utf-8") as f:
         file = json.load(f)
     byte = byte_of_character()
     added = {t["id"]: t["content"].encode() for t in file.get("added_tokens", ())}
@@ -71,6 +83,7 @@ def encode(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
             for batch in text_pieces(whole):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), encode_texts(batch.column("text"), path)], ["doc_id", "ids"])
 
+    ship(docs.sparkSession, path)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
@@ -105,6 +118,7 @@ def encode_with_spans(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
                     [batch.column("doc_id"), lists, *(pa.ListArray.from_arrays(lists.offsets, pa.array(x)) for x in joined)], ["doc_id", "ids", "starts", "ends", "split"]
                 )
 
+    ship(docs.sparkSession, path)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, ids array<int>, starts array<int>, ends array<int>, split array<boolean>"
     )
@@ -123,4 +137,5 @@ def decode(encoded: DataFrame, path: str = TOKENIZER) -> DataFrame:
             texts = [b"".join([table[i] for i in ids or ()]).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
+    ship(encoded.sparkSession, path)
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")

@@ -54,12 +54,15 @@ def words_of(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 @dataclass
 class TestSuffixes:
-    """All suffixes of the test items with enough words: the words' numbers in the items' vocabulary."""
+    """All suffixes of the test items with enough words: ``words`` are the items' words on end, by their numbers (from 1) in
+    the items' vocabulary; a suffix begins at each of ``starts``."""
 
     vocabulary: np.ndarray
     item: np.ndarray
     place: np.ndarray
     words: np.ndarray
+    starts: np.ndarray
+    size: int
 
     @staticmethod
     def of(items: list[tuple[int, str]], size: int) -> TestSuffixes:
@@ -69,8 +72,14 @@ class TestSuffixes:
         ids = np.searchsorted(vocabulary, hashes) + 1
         n = max(0, len(ids) - size + 1)
         at = np.flatnonzero(text[:n] == text[size - 1 :]) if n else np.zeros(0, np.int64)
-        windows = np.lib.stride_tricks.sliding_window_view(ids, size)[at] if n else np.zeros((0, size), np.int64)
-        return TestSuffixes(vocabulary, np.array([i for i, _ in items], np.int64)[text[at]], place[at], windows)
+        return TestSuffixes(vocabulary, np.array([i for i, _ in items], np.int64)[text[at]], place[at], ids, at, size)
+
+    def alive(self, tokens: np.ndarray) -> np.ndarray:
+        """Suffixes of whose first words all stand somewhere among ``tokens``; no other can be found in them."""
+        there = np.zeros(len(self.vocabulary) + 1, bool)
+        there[tokens] = True
+        lost = np.concatenate([[0], np.cumsum(~there[self.words])])
+        return np.flatnonzero(lost[self.starts + self.size] == lost[self.starts])
 
 
 def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -108,8 +117,8 @@ def bisect(tokens: np.ndarray, order: np.ndarray, wanted: np.ndarray, after: boo
 def search_shard(texts: pa.Array, tests: TestSuffixes) -> tuple[np.ndarray, ...]:
     """text, item, words of the longest match, its place in the item and in the text (in words), once per text and item."""
     none = tuple(np.zeros(0, np.int64) for _ in range(5))
-    size = tests.words.shape[1]
-    if not len(tests.words):
+    size = tests.size
+    if not len(tests.starts):
         return none
     hashes, text, place = words_of(*code_points(texts))
     if not len(hashes):
@@ -124,10 +133,14 @@ def search_shard(texts: pa.Array, tests: TestSuffixes) -> tuple[np.ndarray, ...]
         return none
     breaks = np.flatnonzero(np.diff(run[at])) + 1
     tokens, source = np.insert(ids[at], breaks, 0), np.insert(at, breaks, -1)
+    alive = tests.alive(tokens)
+    if not len(alive):
+        return none
     order = suffix_array(tokens, size)
-    lo, hi = bisect(tokens, order, tests.words, False), bisect(tokens, order, tests.words, True)
+    wanted = tests.words[tests.starts[alive][:, None] + np.arange(size)]
+    lo, hi = bisect(tokens, order, wanted, False), bisect(tokens, order, wanted, True)
     n = hi - lo
-    which = np.repeat(np.arange(len(n)), n)
+    which = np.repeat(alive, n)
     where = source[order[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]]
     doc, item, in_item, in_doc = text[where], tests.item[which], tests.place[which], place[where]
     # matches at successive words of item and text are one longer match
@@ -149,7 +162,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, size: int = WORDS) -> DataFram
     the longest passage they share with its places (in words, from 0).
 
     Words are the longest runs of letters and digits, in lower case. The corpus is cut into shards (runs of an Arrow
-    batch); each shard's words are put in a suffix array, in which every suffix of every item is searched by bisection.
+    batch); each shard's words are put in a suffix array, in which every suffix of every item whose words all stand in the
+    shard is searched by bisection.
     Only the matches leave a task, so no text is shuffled. The items go to all tasks, in as many passes as they need at
     ITEM_CHARS characters each.
 
@@ -163,12 +177,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, size: int = WORDS) -> DataFram
     found = None
     for k in range(passes):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect() if passes > 1 else items.collect()
-        tests = TestSuffixes.of(sorted((r.item_id, r.text) for r in part), size)
+        tests = docs.sparkSession.sparkContext.broadcast(TestSuffixes.of(sorted((r.item_id, r.text) for r in part), size))
 
-        def run(batches: Iterator[pa.RecordBatch], tests: TestSuffixes = tests) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], tests=tests) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for batch in text_pieces(whole, most=SHARD_CHARS):
-                    doc, *rest = search_shard(batch.column("text"), tests)
+                    doc, *rest = search_shard(batch.column("text"), tests.value)
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(doc)), *(pa.array(x.astype(np.int64)) for x in rest)], ["doc_id", "item_id", "n_words", "item_from", "doc_from"])
 
         hits = docs.mapInArrow(run, "doc_id long, item_id long, n_words long, item_from long, doc_from long")

@@ -25,6 +25,13 @@ def p8_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p8_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Characters that the tokens' spans reach, and whether each span begins where the one before ends, or within its last character."""
+    told = encode.encode_with_spans(table(spark, sf_dir, "documents"))
+    joined = F.forall(F.arrays_zip(F.array_prepend(F.slice("ends", 1, F.greatest(F.size("ends") - 1, F.lit(0))), F.lit(0)).alias("b"), F.col("starts").alias("a"), F.col("split").alias("s")), lambda x: F.when(x["s"], x["a"] == x["b"] - 1).otherwise(x["a"] == x["b"]))
+    return told.select("doc_id", F.coalesce(F.array_max("ends"), F.lit(0)).alias("n_chars"), ((F.size("ids") == 0) | joined).alias("joined"))
+
+
 def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -47,7 +54,7 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p8_ids, p8_decoded, p8_token_spans, p9_found, p9_leaks, p9_clean, p10_found, p10_share)
+    f.__name__: f for f in (p8_ids, p8_decoded, p8_token_spans, p8_covered, p9_found, p9_leaks, p9_clean, p10_found, p10_share)
 }
 
 _WORDS = """list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"""
@@ -55,6 +62,12 @@ _LEAKS = f"""dw AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
 dg AS (SELECT doc_id, array_to_string(list_slice(w, k, k + 14), ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 14)) AS k FROM dw)),
 ig AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, k, k + 14), ' ') AS g FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 14)) AS k FROM iw)),
 leaked AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))"""
+_PASSAGES = f"""dw AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents), iw AS (SELECT DISTINCT item_id, text, {_WORDS.format("text")} AS w FROM eval_items),
+dg AS (SELECT doc_id, k, array_to_string(list_slice(w, k, k + 14), ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 14)) AS k FROM dw)),
+ig AS (SELECT item_id, k, array_to_string(list_slice(w, k, k + 14), ' ') AS g FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 14)) AS k FROM iw)),
+met AS (SELECT doc_id, item_id, dg.k AS dk, ig.k AS ik FROM dg JOIN ig USING (g)),
+run AS (SELECT *, dk - row_number() OVER (PARTITION BY doc_id, item_id, dk - ik ORDER BY dk) AS run FROM met),
+passages AS (SELECT doc_id, item_id, count(*) + 14 AS n_words, min(ik) - 1 AS item_from, min(dk) - 1 AS doc_from FROM run GROUP BY doc_id, item_id, dk - ik, run)"""
 _SPANS = """starts AS (SELECT doc_id, s, md5_number(substr(text, CAST(s + 1 AS BIGINT), 256)) AS h FROM (SELECT doc_id, text, unnest(generate_series(0, length(text) - 256)) AS s FROM documents)),
 twice AS (SELECT h FROM starts GROUP BY h HAVING min(doc_id) <> max(doc_id)),
 hits AS (SELECT doc_id, s FROM starts WHERE h IN (SELECT h FROM twice)),
@@ -64,6 +77,9 @@ spans AS (SELECT doc_id, CAST(min(s) AS INTEGER) AS span_start, CAST(max(s) + 25
 
 SQL: dict[str, str] = {
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    "p8_covered": "SELECT doc_id, CAST(coalesce(length(text), 0) AS INTEGER) AS n_chars, true AS joined FROM documents",
+    "p9_leaks": f"""WITH {_PASSAGES} SELECT doc_id, item_id, unnest(best) FROM (SELECT doc_id, item_id, first(struct_pack(n_words := n_words, item_from := item_from, doc_from := doc_from)
+  ORDER BY n_words DESC, item_from, doc_from) AS best FROM passages GROUP BY ALL)""",
     "p9_found": f"WITH {_LEAKS} SELECT * FROM leaked",
     "p9_clean": f"WITH {_LEAKS} SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM leaked)",
     "p10_found": f"WITH {_SPANS} SELECT doc_id, span_start, span_end FROM spans",
