@@ -199,7 +199,7 @@ def test_tree(spark):
 
 def test_tree_bounds_the_states_of_a_round(spark):
     plan = tree.tree_aggregate(spark.range(1000).repartition(300), ["id"], {"n": (F.count(F.lit(1)), F.sum)}, 300)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Aggregate [") == 4  # 300 chunks, 19 nodes, 2 nodes, the result
+    assert plan.count("Aggregate [") == 3  # of 300 chunks 19 nodes, of these 2, of these the result
 
 
 # 5

@@ -22,14 +22,16 @@ def tree_aggregate(
     one state of a hot key from every chunk. Null keys form groups of their own. An empty ``df`` gives no rows.
     """
     chunks = chunks or max(1, df.rdd.getNumPartitions())
-    level = df.withColumn("_node", F.floor(F.spark_partition_id() / F.lit(fan_in)).cast("int"))
-    level = level.groupBy(*keys, "_node").agg(*[first.alias(name) for name, (first, _) in states.items()])
+    aggs = [first.alias(name) for name, (first, _) in states.items()]
+    merges = [merge(name).alias(name) for name, (_, merge) in states.items()]
+    if chunks <= fan_in:
+        return df.groupBy(*keys).agg(*aggs)
+    level = df.withColumn("_node", F.floor(F.spark_partition_id() / F.lit(fan_in)).cast("int")).groupBy(*keys, "_node").agg(*aggs)
     nodes = -(-chunks // fan_in)
-    while nodes > 1:
+    while nodes > fan_in:
         nodes = -(-nodes // fan_in)
-        level = level.withColumn("_node", F.floor(F.col("_node") / F.lit(fan_in)).cast("int"))
-        level = level.groupBy(*keys, "_node").agg(*[merge(name).alias(name) for name, (_, merge) in states.items()])
-    return level.groupBy(*keys).agg(*[merge(name).alias(name) for name, (_, merge) in states.items()])
+        level = level.withColumn("_node", F.floor(F.col("_node") / F.lit(fan_in)).cast("int")).groupBy(*keys, "_node").agg(*merges)
+    return level.groupBy(*keys).agg(*merges)
 
 
 def roll_up(

@@ -111,9 +111,14 @@ def catalogue_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quakes = _quakes(spark, sf_dir).filter("ot is not null").select(F.concat_ws("_", "evid", "waveform_id").alias("evid"), micros(F.col("ot")).alias("ot_us"), "lat", "lon", "dep", "mag")
-    events, _ = catalog.parse_named_catalogue(catalog.catalogue_lines(quakes, quakes.filter("false").selectExpr("evid", "'' as station", "ot_us as tp_us", "ot_us as ts_us", "ot_us as line_no")), 1_073_433_600_000_000, 1_074_211_200_000_000)
-    return events.select("evid", "name", "ot_us")
+    """The older form, whose events end in 'evid_name', of all events from 1900 to 2100, with the number of their picks and P times."""
+    names = _quakes(spark, sf_dir).filter("ot is not null").select("evid", F.concat_ws("_", "evid", "waveform_id").alias("named"), micros(F.col("ot")).alias("ot_us"), "lat", "lon", "dep", "mag")
+    picks = table(spark, sf_dir, "picks").select("evid", station_code(F.col("net_sta")).alias("station"), micros(F.col("tp")).alias("tp_us"), micros(F.col("ts")).alias("ts_us"), "line_no").filter("station is not null")
+    picks = picks.join(names.select("evid", "named"), "evid").drop("evid").withColumnRenamed("named", "evid")
+    lines = catalog.catalogue_lines(names.drop("evid").withColumnRenamed("named", "evid"), picks)
+    events, told = catalog.parse_named_catalogue(lines, -2_208_988_800_000_000, 4_102_444_800_000_000)
+    counts = told.groupBy("evid").agg(F.count(F.lit(1)).alias("n_picks"), F.count("tp_us").alias("n_p"))
+    return events.select("evid", "name", "ot_us").join(counts, "evid", "left").na.fill(0, ["n_picks", "n_p"])
 
 
 def station_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,7 +326,8 @@ SELECT station, row_a, row_b, a.evid AS evid_a, b.evid AS evid_b FROM t JOIN e a
     "station_rows": f"WITH {_TASKS} SELECT station, event_idx, max(row) AS row FROM (SELECT station, event_idx_a AS event_idx, row_a AS row FROM t UNION ALL SELECT station, event_idx_b, row_b FROM t) GROUP BY ALL",
     "catalogue_events": f"WITH {_Q} SELECT evid, ot_us, CASE WHEN isnan(lat) THEN NULL ELSE lat END AS lat, CASE WHEN isnan(lon) THEN NULL ELSE lon END AS lon, CASE WHEN isnan(dep) THEN NULL ELSE dep END AS dep, CASE WHEN isnan(mag) THEN NULL ELSE mag END AS mag FROM q WHERE ot_us IS NOT NULL",
     "catalogue_picks": f"WITH {_Q}, {_LP} SELECT evid, station, tp_us, ts_us, line_no FROM named JOIN q USING (evid) WHERE station IS NOT NULL AND ot_us IS NOT NULL",
-    "named_catalogue": f"WITH {_Q} SELECT evid, waveform_id AS name, ot_us FROM q WHERE ot_us > 1073433600000000 AND ot_us < 1074211200000000",
+    "named_catalogue": f"""WITH {_Q}, {_LP}, c AS (SELECT evid, count(*) AS n_picks, count(tp_us) AS n_p FROM named WHERE station IS NOT NULL GROUP BY evid)
+SELECT evid, waveform_id AS name, ot_us, coalesce(n_picks, 0) AS n_picks, coalesce(n_p, 0) AS n_p FROM q LEFT JOIN c USING (evid) WHERE ot_us > -2208988800000000 AND ot_us < 4102444800000000""",
     "station_list": f"SELECT station, CASE WHEN isnan(s.lat) THEN NULL ELSE s.lat END AS lat, CASE WHEN isnan(s.lon) THEN NULL ELSE s.lon END AS lon, CASE WHEN isnan(s.ele) THEN NULL ELSE s.ele END AS ele FROM (SELECT {CODE.format('net_sta')} AS station, arg_max(struct_pack(lat := lat, lon := lon, ele := ele), line_no) AS s FROM stations GROUP BY ALL) WHERE station IS NOT NULL",
     "observations": f"WITH {_OBS} SELECT * FROM obs",
     "well_observed": f"WITH {_OBS} SELECT * FROM well",
