@@ -36,6 +36,18 @@ def test_result_is_at_rest_under_plain_replacement():
     assert (full[known] == x[known]).all()
 
 
+def test_a_fill_that_runs_away_is_not_given_out():
+    """A long gap between two short noisy stretches: the values stay in the order of the known ones, or the line stays."""
+    rng = np.random.default_rng(5)
+    x, known = rng.normal(size=(20, 700)), np.zeros((20, 700), bool)
+    for r in range(20):
+        known[r, : 30 + 4 * r] = known[r, -20:] = True
+        x[r] = np.interp(np.arange(700), np.flatnonzero(known[r]), x[r, known[r]])
+    values, settled, modelled = grid.imputed(x, known, np.full(20, 700))
+    assert modelled.all() and (values[~settled] == x[~settled]).all()
+    assert np.abs(values).max() <= grid.RUNAWAY * 1.1 * np.abs(x[known]).max()
+
+
 def test_rows_of_any_length_side_by_side_equal_each_alone():
     rng = np.random.default_rng(1)
     lengths = np.array([3, 9, 30, 47, 48, 100, 400, 700, 30, 10])

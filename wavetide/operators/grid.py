@@ -18,8 +18,9 @@ BLOCK, CONTEXT = 1024, 64
 WIDTH = BLOCK + 2 * CONTEXT
 #: Length of the embedded windows, components kept, and the movement (in standard deviations) still to come at which it ends.
 WINDOW, RANK, CHANGE = 24, 3, 1e-4
-#: Rounds after which a block is given out as unsettled.
-ROUNDS = 300
+#: Rounds at most with one number of components, and how many times the largest known deviation a filled value may reach;
+#: beyond either the block is tried with fewer components, and without rest even with one keeps its line as unsettled.
+ROUNDS, RUNAWAY = 300, 10.0
 SOURCE = ("station", "channel", "date")
 #: Samples handled at a time within a task.
 SAMPLES = 2_000_000
@@ -86,7 +87,8 @@ def imputed(x: np.ndarray, known: np.ndarray, length: np.ndarray, window: int =
     its ``rank`` leading singular vectors. Replacing the unknown places by the averaged anti-diagonals of the projection,
     again and again, comes to rest where they equal those averages; with the vectors held, that is a linear system, so
     each round solves it instead of creeping there. A row ends once what is still to come, judged by its last two moves, is
-    at most ``change`` standard deviations. Windows are half the row long where it is short. There is no model with fewer
+    at most ``change`` standard deviations. Where a gap weighs too much against what is known, its values grow without end:
+    such a row is tried with fewer vectors, and keeps the guess if it comes to rest with none. Windows are half the row long where it is short. There is no model with fewer
     than two known slots, or windows no longer than ``rank``; without spread the guess stays and counts as at rest.
     """
     inside = np.arange(x.shape[1]) < length[:, None]
@@ -99,21 +101,23 @@ def imputed(x: np.ndarray, known: np.ndarray, length: np.ndarray, window: int =
     todo = modelled & (held < length) & (spread[:, 0] > 0)
     settled = ~todo
     y = np.where(inside & todo[:, None], (x - centre) / np.where(spread > 0, spread, 1), 0)
+    guess = y.copy()
     for w in np.unique(size[todo]).tolist():
-        rows = np.flatnonzero(todo & (size == w))
-        unknown = inside[rows] & ~known[rows]
-        so_far = np.concatenate([np.zeros((len(rows), 1), np.int64), np.cumsum(unknown, 1)], 1)
-        open_windows = (so_far[:, w:] > so_far[:, :-w]) & (np.arange(x.shape[1] - w + 1) <= (length[rows] - w)[:, None])
-        n = open_windows.sum(1)
-        order = np.argsort(n, kind="stable")
-        a = 0
-        while a < len(order):  # rows with about as many open windows go side by side
-            b = a + 1
-            while b < len(order) and n[order[b]] <= 1.3 * n[order[a]] + 40 and (b - a) * n[order[b]] <= SIDE_BY_SIDE:
-                b += 1
-            part, a = order[a:b], b
-            y[rows[part]], settled[rows[part]] = _at_rest(y[rows[part]], unknown[part], open_windows[part], length[rows[part]], w, rank, rounds, change)
-    return np.where(todo[:, None] & inside & ~known, y * spread + centre, x), settled, modelled
+        for kept in range(rank, 0, -1):
+            rows = np.flatnonzero(todo & (size == w) & ~settled)
+            unknown = inside[rows] & ~known[rows]
+            so_far = np.concatenate([np.zeros((len(rows), 1), np.int64), np.cumsum(unknown, 1)], 1)
+            open_windows = (so_far[:, w:] > so_far[:, :-w]) & (np.arange(x.shape[1] - w + 1) <= (length[rows] - w)[:, None])
+            n = open_windows.sum(1)
+            order = np.argsort(n, kind="stable")
+            a = 0
+            while a < len(order):  # rows with about as many open windows go side by side
+                b = a + 1
+                while b < len(order) and n[order[b]] <= 1.3 * n[order[a]] + 40 and (b - a) * n[order[b]] <= SIDE_BY_SIDE:
+                    b += 1
+                part, a = order[a:b], b
+                y[rows[part]], settled[rows[part]] = _at_rest(guess[rows[part]], unknown[part], open_windows[part], length[rows[part]], w, kept, rounds, change)
+    return np.where((todo & settled)[:, None] & inside & ~known, y * spread + centre, x), settled, modelled
 
 
 def _at_rest(y: np.ndarray, unknown: np.ndarray, open_windows: np.ndarray, length: np.ndarray, w: int, rank: int, rounds: int, change: float) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +137,7 @@ def _at_rest(y: np.ndarray, unknown: np.ndarray, open_windows: np.ndarray, lengt
     rows = np.arange(r)[:, None, None]
     hankel = y[rows, starts[:, :, None] + inner]
     fixed = _covariance(y[:, :n], length, w) - hankel.transpose(0, 2, 1) @ hankel
+    most = RUNAWAY * np.abs(y).max(1)
     alive, before, last = np.arange(r), None, np.full(r, np.inf)
     for k in range(rounds):
         rows = np.arange(len(y))[:, None, None]
@@ -159,14 +164,16 @@ def _at_rest(y: np.ndarray, unknown: np.ndarray, open_windows: np.ndarray, lengt
         speed = np.minimum(moved / last, 0.99)
         last = moved
         done = moved * np.maximum(1, speed / (1 - speed)) <= (change if k > 1 else change / 100)
-        settled[alive[done]] = True
+        away = np.abs(aim).max(1) > most
+        settled[alive[done & ~away]] = True
+        done |= away
         if done.all() or k == rounds - 1:
             out[alive] = y[:, :n]
             break
         if 4 * done.sum() >= len(done):
             out[alive[done]] = y[done, :n]
             go = ~done
-            alive, y, starts, gaps, holder, fixed, lead, last, length = (z[go] for z in (alive, y, starts, gaps, holder, fixed, lead, last, length))
+            alive, y, starts, gaps, holder, fixed, lead, last, length, most = (z[go] for z in (alive, y, starts, gaps, holder, fixed, lead, last, length, most))
             before, system = tuple(z[go] for z in before), tuple(z[go] for z in system)
     return out, settled
 
@@ -320,8 +327,8 @@ def regular_series(readings: DataFrame, only_filled: bool = False) -> DataFrame:
     is one station, channel and date. A slot with readings holds their mean (how: read); one without is ``filled`` by
     iterative singular-spectrum imputation of its block (``imputed``, with CONTEXT slots on each side of BLOCK), which starts
     from the line between the neighbouring readings. How it came about is told: ``imputed`` if the iteration came to rest,
-    ``unsettled`` if it did not within ROUNDS, ``line`` where no model can be had and the line stays: in blocks that see
-    fewer than two readings, so most of those inside a gap of more than BLOCK seconds.
+    ``unsettled`` if it did not (``imputed``) and the line stays, ``line`` where no model can be had and the line stays: in
+    blocks that see fewer than two readings, so most of those inside a gap of more than BLOCK seconds.
 
     A null, NaN or infinite sample, and a row without station, start or positive rate, gives no reading; null channel or
     date make a source of their own; repeated and overlapping rows enter the same slots; a source without readings, and
