@@ -183,11 +183,19 @@ def made_up_docs(seed, n, alphabet):
 def test_shared_spans(spark, monkeypatch, alphabet, group, most, hot):
     """Broadcast and shuffled, with and without hot signatures."""
     monkeypatch.setattr(spans, "HOT", hot)
+    monkeypatch.setattr(spans, "BITS", 1 << (7 if hot == 2 else 27))
     docs = made_up_docs(len(alphabet), 50, alphabet)
     got = spans.shared_spans(docs_of(spark, docs).repartition(4), 16, group, (most, most))
     assert rows(got) == spans_by_hand(docs, 16)
 
 
+def test_no_row_of_a_key_is_left_out(spark):
+    keys = spark.range(0, 3000, 3).withColumnRenamed("id", "k")
+    rows_ = spark.range(-50, 20_000).withColumnRenamed("id", "k")
+    left = {r.k for r in spans.maybe_in(rows_, keys, ["k"]).collect()}
+    assert set(range(0, 3000, 3)) <= left and len(left) < 1100
+
+
 def test_anchors_and_joint_windows():
     rng = np.random.default_rng(0)
     tokens = rng.integers(0, 20, 200).astype(np.uint64) << np.uint64(40)

@@ -26,6 +26,8 @@ GROUP = 64
 HOT, SALT = 10_000, 64
 #: Most signatures, and most records, that go out as a broadcast; more are met by a shuffle.
 BROADCAST_SIGS, BROADCAST_DOCS = 500_000, 1_000_000
+#: Bits of the table that is broadcast before such a shuffle, whatever the number of keys.
+BITS = 1 << 27
 
 
 def anchors(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -151,7 +153,8 @@ def shared_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP, broadcas
     several = contexts.filter("n_ctx > 1")
     wanted = several.select("doc_id").distinct()
     few_docs = wanted.limit(broadcast[1] + 1).count() <= broadcast[1]
-    held = docs.join(F.broadcast(wanted) if few_docs else wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "part"])
+    held = docs.join(F.broadcast(wanted), "doc_id", "left_semi") if few_docs else maybe_in(docs, wanted, ["doc_id"]).join(wanted.hint("merge"), "doc_id")  # a semi-join would go below
+    held = held.dropDuplicates(["doc_id", "part"])
     stretch = F.substring(F.col("text"), F.col("s0") + 1, F.col("more") + F.lit(span))
     texts = durable(several.join(held, ["doc_id", "part"]).select(*key, "hot", "lo", "hi", "n_ctx", stretch.alias("context")))
     few = texts.filter(F.col("n_ctx") <= group).groupBy("sig").agg(F.collect_list(F.struct("ctx", "before", "more", "hot", "lo", "hi", "context")).alias("members"))
@@ -211,11 +214,26 @@ def shared_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP, broadcas
     return merge_runs(spans.repartition("doc_id").distinct())  # both in one shuffle
 
 
+def maybe_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` without most of those whose ``on`` does not stand in ``keys``; none of the others is lost.
+
+    Each key sets one of BITS bits, by its hash; the words that hold a bit, BITS / 64 at most, are broadcast. With as many keys as
+    bits about a third of the other rows still goes, with far more nothing does, and the join that follows is as it would be.
+    """
+    slot = F.pmod(F.xxhash64(*on), F.lit(BITS))
+    word, bit = F.shiftright(slot, 6).alias("_word"), F.pmod(slot, F.lit(64)).cast("int")
+    words = keys.select(word, F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b")).groupBy("_word").agg(F.bit_or("b").alias("_bits"))
+    met = rows.withColumn("_word", word).join(F.broadcast(words), "_word")
+    return met.filter(F.call_function("shiftright", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1).drop("_word", "_bits")
+
+
 def salted_join(rows: DataFrame, keys: DataFrame, on: list[str], spread: str, most: int) -> DataFrame:
     """The ``rows`` whose ``on`` stands in ``keys`` (each once, with ``hot``), with ``hot``. Up to ``most`` keys are broadcast.
-    Beyond, the hot ones, few as each has HOT rows at least, still are; rows of the others are met by a shuffle."""
+    Beyond, the hot ones, few as each has HOT rows at least, still are; rows of the others, but those that ``maybe_in`` leaves
+    out, are met by a shuffle."""
     if keys.limit(most + 1).count() <= most:
         return rows.join(F.broadcast(keys), on)
+    rows = maybe_in(rows, keys, on)
     hot = keys.filter("hot")
     if hot.limit(most + 1).count() > most:  # then they are no outliers, but each row's part must be found
         both = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
