@@ -130,6 +130,59 @@ def test_differential_times_of_windows(spark):
     assert waveforms.differential_times(asked.filter("station = 'N.A'"), df, config).count() == 0  # one station only
 
 
+SEEN = "station string, evid string, tp_rel float, ts_rel float, has_p boolean, has_s boolean, p_data array<array<float>>, s_data array<array<float>>"
+
+
+@pytest.mark.parametrize("tile", [1, 3, 64])
+def test_tiles_correlate_what_single_pairs_do(spark, tile):
+    """Dense pairs of 14 events at three stations; some windows and phases are missing, one pair is told twice, one has a null."""
+    rng = np.random.default_rng(10)
+    config = Config(samp_rate=10.0, win_temp_p=(0.5, 2.5), win_temp_s=(0.5, 3.5), dt_thres=(1.0, 1.5), cc_thres=0.2, scc_thres=None, peak_separation=0.3, num_sta=2)
+    windows, asked = [], [("e0", "e1", "N.A"), (None, "e1", "N.A"), ("e0", "e1", None), ("e0", "none", "N.B")]
+    for k, station in enumerate(("N.A", "N.B", "N.C")):
+        for e in range(14):
+            if (k + e) % 9:
+                p, s = rng.normal(size=(1, 50)).tolist(), rng.normal(size=(2, 70)).tolist()
+                windows.append((station, f"e{e}", 2.0 + e / 10, 4.0, e % 5 > 0, e % 7 > 0, p if e % 5 else None, s if e % 7 else None))
+        asked += [(f"e{a}", f"e{b}", station) for a in range(14) for b in range(14) if a != b and (a * b) % 3 < 2]
+    df = spark.createDataFrame(windows, SEEN)
+    told = spark.createDataFrame(asked, "evid_a string, evid_b string, station string")
+    one = {(w[0], w[1]): w for w in windows}
+    want = []
+    for a, b, s in asked:
+        if (s, a) in one and (s, b) in one:
+            for phase, k, spec in (("P", 0, config.phases()["P"]), ("S", 1, config.phases()["S"])):
+                x, y = one[s, a], one[s, b]
+                if x[4 + k] and y[4 + k]:
+                    cc = K.correlation(np.float32([x[6 + k]]), np.float32([y[6 + k]])[:, :, spec.temp_start : spec.temp_start + spec.temp_npts])
+                    peak, lag, _ = K.peaks(cc, 3)
+                    dt = np.float32(x[2 + k]) + np.float32(spec.shift_s) + np.float32(lag[0] / 10) - np.float32(y[2 + k])
+                    if peak[0] >= 0.2 and abs(dt) <= np.float32(spec.dt_limit):
+                        want.append((a, b, s, phase, round(1e6 * float(dt)), peak[0]))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = waveforms.correlated_times(told, df.withColumn("more", F.lit(1)), config, tile).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    order = lambda r: tuple(r[:4])
+    got, want = sorted(map(tuple, got), key=order), sorted(want, key=order)
+    assert [r[:4] for r in got] == [r[:4] for r in want] and len(want) > 300
+    assert all(abs(g[4] - w[4]) <= 2 and abs(g[5] - 1e6 * w[5]) <= 2 for g, w in zip(got, want))
+    assert waveforms.correlated_times(told.limit(0), df, config).count() == waveforms.correlated_times(told, df.limit(0), config).count() == 0
+
+
+def test_event_tiles(spark):
+    """Every event has one tile; a cluster of 300 is parted into tiles of about 20, two clusters share none."""
+    asked = [(f"{c}{a:03}", f"{c}{b:03}", "N.A") for c in "xy" for a in range(300) for b in range(a + 1, min(a + 40, 300))] + [(f"{c}000", f"{c}{b:03}", "N.B") for c in "xy" for b in range(1, 300)]
+    got = waveforms.event_tiles(spark.createDataFrame(asked, "evid_a string, evid_b string, station string"), 20).collect()
+    assert len(got) == len({r.evid for r in got}) == 600
+    tiles = {}
+    for r in got:
+        tiles.setdefault(r.tile, []).append(r.evid)
+    assert all(len({e[0] for e in t}) == 1 for t in tiles.values()) and len(tiles) == 30 and max(map(len, tiles.values())) <= 40
+
+
 # the packed form
 def test_packed_files(spark, tmp_path):
     def stored(x):

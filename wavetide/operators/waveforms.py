@@ -19,8 +19,10 @@ from wavetide.session import durable
 HOUR_US = 3_600_000_000
 #: Samples beyond a window that its spline may use.
 PAD = 8
-#: Stretches that are filtered at a time.
-TOGETHER = 64
+#: Stretches that are filtered, and pairs of windows that are correlated, at a time.
+TOGETHER, SIDE_BY_SIDE = 64, 256
+#: Events of a tile; a task holds the windows of two tiles at one station (11 MB at the default windows).
+TILE = 64
 
 
 def clean_traces(traces: DataFrame) -> DataFrame:
@@ -214,20 +216,23 @@ def correlate(pairs: DataFrame, data_npts: int, temp_start: int, temp_npts: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for k in range(0, whole.num_rows, 256):
-                batch = whole.slice(k, 256)
+            for k in range(0, whole.num_rows, SIDE_BY_SIDE):
+                batch = whole.slice(k, SIDE_BY_SIDE)
                 a, b = (_cube(batch.column(c), data_npts) for c in ("data_a", "data_b"))
-                cc = K.correlation(a, b[:, :, temp_start : temp_start + temp_npts])
-                peak, lag, contrast = K.peaks(cc, separation)
                 t_a, t_b = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.float32) for c in ("t_a", "t_b"))
-                dt = t_a + np.float32(shift_s) + (lag / rate).astype(np.float32) - t_b
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(f.name) for f in rest), *(pa.array(x) for x in (peak, lag.astype(np.int32), contrast, dt.astype(np.float32)))], [*(f.name for f in rest), "cc", "lag", "scc", "dt"]
-                )
+                out = _aligned(a, b, t_a, t_b, temp_start, temp_npts, rate, shift_s, separation)
+                yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), *(pa.array(x) for x in out)], [*(f.name for f in rest), "cc", "lag", "scc", "dt"])
 
     return pairs.mapInArrow(run, f"{fields}, cc double, lag int, scc double, dt float")
 
 
+def _aligned(a: np.ndarray, b: np.ndarray, t_a: np.ndarray, t_b: np.ndarray, temp_start: int, temp_npts: int, rate: float, shift_s: float, separation: int) -> tuple[np.ndarray, ...]:
+    """cc, lag, scc, dt of the windows ``a`` against the templates in ``b``."""
+    peak, lag, contrast = K.peaks(K.correlation(a, b[:, :, temp_start : temp_start + temp_npts]), separation)
+    dt = t_a + np.float32(shift_s) + (lag / rate).astype(np.float32) - t_b
+    return peak, lag.astype(np.int32), contrast, dt.astype(np.float32)
+
+
 def _cube(lists: pa.ListArray, npts: int) -> np.ndarray:
     inner = lists.flatten()
     values = inner.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -245,24 +250,86 @@ def passes(dt_limit: float, cc_thres: float | None, scc_thres: float | None) ->
     return keep
 
 
-def correlated_times(station_pairs: DataFrame, windows: DataFrame, config: Config) -> DataFrame:
+def event_tiles(station_pairs: DataFrame, size: int = TILE) -> DataFrame:
+    """evid, tile: events that are partners of the same events mostly lie in one tile; a tile has about ``size`` events.
+
+    An event falls in with the smallest evid among its partners and itself; where many do, they are parted by a hash of
+    their evids. A null evid has no tile.
+    """
+    ends = F.array(F.struct(F.col("evid_a").alias("evid"), F.col("evid_b").alias("other")), F.struct(F.col("evid_b").alias("evid"), F.col("evid_a").alias("other")))
+    near = station_pairs.select(F.explode(ends).alias("e")).select("e.*").filter("evid is not null").groupBy("evid").agg(F.min("other").alias("other"))
+    near = near.select("evid", F.least("evid", "other").alias("_lead"))
+    parts = near.groupBy("_lead").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).alias("_parts"))
+    return near.join(parts, "_lead").select("evid", F.xxhash64("_lead", F.pmod(F.xxhash64("evid"), F.col("_parts"))).alias("tile"))
+
+
+def correlated_times(station_pairs: DataFrame, windows: DataFrame, config: Config, tile: int = TILE) -> DataFrame:
     """evid_a, evid_b, station, phase, dt_u6, cc_u6 of the station pairs (evid_a, evid_b, station) whose windows agree.
 
-    ``windows`` as of ``event_windows``. Two equi-joins on station and event bring both windows of a pair together, phase by
-    phase and only where both have the phase; then follow correlation and thresholds.
+    ``windows`` as of ``event_windows``, one row per station and event. Events are laid in tiles (``event_tiles``), and the
+    work of a station in pairs of tiles: a window goes once to each pair of tiles in which it is needed, not once to each
+    pair of events, and a task holds the windows of one pair of tiles at a time. A station pair is correlated in the phases
+    that both its windows have, then the thresholds follow. Repeated station pairs come out as often as they stand; pairs
+    with a null, or without a window at one side, and empty tables give nothing; further columns are dropped.
     """
-    found = None
+    tiles = event_tiles(station_pairs, tile)
+    side = lambda k: tiles.select(F.col("evid").alias(f"evid_{k}"), F.col("tile").alias(f"tile_{k}"))
+    key = ["station", "tile_a", "tile_b"]
+    told = station_pairs.select("evid_a", "evid_b", "station").join(side("a"), "evid_a").join(side("b"), "evid_b")
+    needed = told.select(*key, F.explode(F.array("evid_a", "evid_b")).alias("evid_a")).distinct()
+    fields = ["tp_rel", "ts_rel", "has_p", "has_s", "p_data", "s_data"]
+    held = needed.join(windows.select("station", F.col("evid").alias("evid_a"), *fields), ["station", "evid_a"])
+    columns = [*key, "evid_a", "evid_b", *fields]
+    rows = held.withColumn("evid_b", F.lit(None).cast(station_pairs.schema["evid_b"].dataType)).select(*columns)
+    rows = rows.unionByName(told.select(*key, "evid_a", "evid_b"), allowMissingColumns=True).select(*columns)
+    rows = rows.repartition(*key).sortWithinPartitions(*key, F.col("evid_b").asc_nulls_first())  # windows go before pairs
+    kind = station_pairs.schema["evid_a"].dataType.simpleString()
+    obs = rows.mapInArrow(lambda batches: _tiled(batches, config), f"evid_a {kind}, evid_b {kind}, station string, phase string, cc double, scc double, dt float")
+    keep = F.lit(False)
     for phase, spec in config.phases().items():
-        p = phase.lower()
-        held = windows.filter(f"has_{p}")
-        side = lambda k: held.select("station", F.col("evid").alias(f"evid_{k}"), F.col(f"t{p}_rel").alias(f"t_{k}"), F.col(f"{p}_data").alias(f"data_{k}"))  # noqa: E731, B023
-        both = station_pairs.select("evid_a", "evid_b", "station").join(side("a"), ["station", "evid_a"]).join(side("b"), ["station", "evid_b"])
-        obs = correlate(both, spec.data_npts, spec.temp_start, spec.temp_npts, config.samp_rate, spec.shift_s, config.peak_separation)
-        obs = obs.filter(passes(spec.dt_limit, config.cc_thres, config.scc_thres)).select(
-            "evid_a", "evid_b", "station", F.lit(phase).alias("phase"), micro_units(F.col("dt").cast("double")).alias("dt_u6"), micro_units(F.col("cc")).alias("cc_u6")
-        )
-        found = obs if found is None else found.unionByName(obs)
-    return found
+        keep = keep | ((F.col("phase") == phase) & passes(spec.dt_limit, config.cc_thres, config.scc_thres))
+    return obs.filter(keep).select("evid_a", "evid_b", "station", "phase", micro_units(F.col("dt").cast("double")).alias("dt_u6"), micro_units(F.col("cc")).alias("cc_u6"))
+
+
+def _tiled(batches: Iterator[pa.RecordBatch], config: Config) -> Iterator[pa.RecordBatch]:
+    """Correlates the pairs of each pair of tiles, whose windows come before them; those of the last one are kept for the next
+    batch."""
+    number = lambda x: x.to_numpy(zero_copy_only=False)
+    kept = None
+    for batch in batches:
+        if kept is not None:
+            batch = pa.concat_batches([kept, batch])
+        if not batch.num_rows:
+            continue
+        parts = [number(batch.column("station").dictionary_encode().indices), number(batch.column("tile_a")), number(batch.column("tile_b"))]
+        run = np.cumsum(np.concatenate([[False], np.any([np.diff(x) != 0 for x in parts], axis=0)]))
+        window = number(batch.column("evid_b").is_null())
+        held, asked = np.flatnonzero(window), np.flatnonzero(~window)
+        kept = batch.take(pa.array(held[run[held] == run[-1]]))
+        if not len(held) or not len(asked):
+            continue
+        ends = [batch.column("evid_a"), batch.column("evid_b").take(pa.array(asked))]
+        code = number(pa.concat_arrays(ends).dictionary_encode().indices).astype(np.int64)
+        many = code.max() + 1
+        names = run[held] * many + code[held]
+        order = np.argsort(names, kind="stable")
+        rows, there = [], np.ones(len(asked), bool)
+        for wanted in (run[asked] * many + code[asked], run[asked] * many + code[batch.num_rows :]):
+            at = order[np.minimum(np.searchsorted(names[order], wanted), len(order) - 1)]
+            there &= names[at] == wanted
+            rows.append(held[at])
+        for phase, spec in config.phases().items():
+            p = phase.lower()
+            has, t, data = number(batch.column(f"has_{p}").fill_null(False)), number(batch.column(f"t{p}_rel")).astype(np.float32), batch.column(f"{p}_data")
+            able = np.flatnonzero(there & has[rows[0]] & has[rows[1]])
+            separation = max(1, int(round(config.peak_separation * config.samp_rate)))
+            for k in range(0, len(able), SIDE_BY_SIDE):
+                some = able[k : k + SIDE_BY_SIDE]
+                a, b = (r[some] for r in rows)
+                peak, lag, contrast, dt = _aligned(*(_cube(data.take(pa.array(x)), spec.data_npts) for x in (a, b)), t[a], t[b], spec.temp_start, spec.temp_npts, config.samp_rate, spec.shift_s, separation)
+                pair = pa.array(asked[some])
+                told = [*(batch.column(c).take(pair) for c in ("evid_a", "evid_b", "station")), pa.array([phase] * len(some), pa.string())]
+                yield pa.RecordBatch.from_arrays([*told, *(pa.array(x) for x in (peak, contrast, dt))], ["evid_a", "evid_b", "station", "phase", "cc", "scc", "dt"])
 
 
 def differential_times(station_pairs: DataFrame, windows: DataFrame, config: Config) -> DataFrame:
