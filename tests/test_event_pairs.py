@@ -133,7 +133,7 @@ def test_differential_times_of_windows(spark):
 SEEN = "station string, evid string, tp_rel float, ts_rel float, has_p boolean, has_s boolean, p_data array<array<float>>, s_data array<array<float>>"
 
 
-@pytest.mark.parametrize("tile", [1, 3, 64])
+@pytest.mark.parametrize("tile", [1, 3, 64, None])
 def test_tiles_correlate_what_single_pairs_do(spark, tile):
     """Dense pairs of 14 events at three stations; some windows and phases are missing, one pair is told twice, one has a null."""
     rng = np.random.default_rng(10)
@@ -159,10 +159,13 @@ def test_tiles_correlate_what_single_pairs_do(spark, tile):
                     dt = np.float32(x[2 + k]) + np.float32(spec.shift_s) + np.float32(lag[0] / 10) - np.float32(y[2 + k])
                     if peak[0] >= 0.2 and abs(dt) <= np.float32(spec.dt_limit):
                         want.append((a, b, s, phase, round(1e6 * float(dt)), peak[0]))
+    # tile None: by partners; else by place, where some events lie at one and one is not told
+    places = spark.createDataFrame([(f"e{e}", 33.0 + e // 4 * 0.01, -116.0) for e in range(13)], "evid string, lat double, lon double")
+    tiles = waveforms.place_tiles(places, 0.03, tile) if tile else None
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
     try:
-        got = waveforms.correlated_times(told, df.withColumn("more", F.lit(1)), config, tile).collect()
+        got = waveforms.correlated_times(told, df.withColumn("more", F.lit(1)), config, tiles).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     order = lambda r: tuple(r[:4])
@@ -183,6 +186,21 @@ def test_event_tiles(spark):
     assert all(len({e[0] for e in t}) == 1 for t in tiles.values()) and len(tiles) == 30 and max(map(len, tiles.values())) <= 40
 
 
+def test_place_tiles(spark):
+    """A cell of 200 is cut by place, 100 events at one place by hash; events far apart share none; no place is a cell too."""
+    rng = np.random.default_rng(4)
+    made = [(f"a{k}", 33.0 + rng.uniform(0, 0.1), -116.0 + rng.uniform(0, 0.1)) for k in range(200)]
+    made += [(f"b{k}", 40.05, -100.05) for k in range(100)] + [(f"c{k}", 20.0 + k, 0.05) for k in range(5)] + [("d0", None, 0.0), ("d1", float("nan"), 0.0), (None, 1.0, 1.0)]
+    got = {r.evid: r.tile for r in waveforms.place_tiles(spark.createDataFrame(made, "evid string, lat double, lon double"), 0.1, 20).collect()}
+    assert set(got) == {m[0] for m in made if m[0]}
+    tiles = {}
+    for evid, tile in got.items():
+        tiles.setdefault(tile, []).append(evid)
+    kinds = [{e[0] for e in t} for t in tiles.values()]
+    assert all(len(k) == 1 for k in kinds) and kinds.count({"c"}) == 5 and kinds.count({"b"}) == 5 and kinds.count({"a"}) >= 10
+    assert max(map(len, tiles.values())) <= 40 and got["d0"] == got["d1"]
+
+
 # the packed form
 def test_packed_files(spark, tmp_path):
     def stored(x):

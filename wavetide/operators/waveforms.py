@@ -21,8 +21,8 @@ HOUR_US = 3_600_000_000
 PAD = 8
 #: Stretches that are filtered, and pairs of windows that are correlated, at a time.
 TOGETHER, SIDE_BY_SIDE = 64, 256
-#: Events of a tile; a task holds the windows of two tiles at one station (11 MB at the default windows).
-TILE = 64
+#: Events of a tile; a task holds the windows of two tiles at one station (22 MB at the default windows).
+TILE = 128
 
 
 def clean_traces(traces: DataFrame) -> DataFrame:
@@ -263,19 +263,37 @@ def event_tiles(station_pairs: DataFrame, size: int = TILE) -> DataFrame:
     return near.join(parts, "_lead").select("evid", F.xxhash64("_lead", F.pmod(F.xxhash64("evid"), F.col("_parts"))).alias("tile"))
 
 
-def correlated_times(station_pairs: DataFrame, windows: DataFrame, config: Config, tile: int = TILE) -> DataFrame:
+def place_tiles(places: DataFrame, step: float, size: int = TILE) -> DataFrame:
+    """evid, tile: events (evid, lat, lon) that lie near one another; a tile has about ``size`` events.
+
+    Tiles are cells of ``step`` degrees; one that holds more is cut into smaller cells by their number, and what still
+    holds more, as many events at one place, by a hash of their evids. Events without a number for a place share a cell.
+    """
+    count = lambda df, *by: df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    cell = lambda c, k: F.coalesce(F.floor(F.nanvl(c, F.lit(None).cast("double")) / F.lit(step) * k), F.lit(-(10**9)))
+    cells = places.filter("evid is not null").select("evid", "lat", "lon", cell(F.col("lat"), 1).alias("_y"), cell(F.col("lon"), 1).alias("_x"))
+    cells = cells.join(count(cells, "_y", "_x"), ["_y", "_x"]).withColumn("_k", F.ceil(F.sqrt(F.col("_n") / size))).drop("_n")
+    cells = cells.select("evid", F.xxhash64("_k", cell(F.col("lat"), F.col("_k")), cell(F.col("lon"), F.col("_k"))).alias("_cell"))
+    parts = count(cells, "_cell").select("_cell", F.ceil(F.col("_n") / size).alias("_parts"))
+    return cells.join(parts, "_cell").select("evid", F.xxhash64("_cell", F.pmod(F.xxhash64("evid"), F.col("_parts"))).alias("tile"))
+
+
+def correlated_times(station_pairs: DataFrame, windows: DataFrame, config: Config, tiles: DataFrame | None = None) -> DataFrame:
     """evid_a, evid_b, station, phase, dt_u6, cc_u6 of the station pairs (evid_a, evid_b, station) whose windows agree.
 
-    ``windows`` as of ``event_windows``, one row per station and event. Events are laid in tiles (``event_tiles``), and the
-    work of a station in pairs of tiles: a window goes once to each pair of tiles in which it is needed, not once to each
+    ``windows`` as of ``event_windows``, one row per station and event. Events are laid in ``tiles`` (evid, tile: one row per
+    event, ``place_tiles`` or, by default, ``event_tiles``; an event without one is a tile of its own), and the work of a
+    station in pairs of tiles: a window goes once to each pair of tiles in which it is needed, not once to each
     pair of events, and a task holds the windows of one pair of tiles at a time. A station pair is correlated in the phases
     that both its windows have, then the thresholds follow. Repeated station pairs come out as often as they stand; pairs
     with a null, or without a window at one side, and empty tables give nothing; further columns are dropped.
     """
-    tiles = event_tiles(station_pairs, tile)
-    side = lambda k: tiles.select(F.col("evid").alias(f"evid_{k}"), F.col("tile").alias(f"tile_{k}"))
+    tiles = event_tiles(station_pairs) if tiles is None else tiles
+    side = lambda k: tiles.select(F.col("evid").alias(f"evid_{k}"), F.col("tile").alias(f"_{k}"))
+    own = [F.coalesce(f"_{k}", F.xxhash64(f"evid_{k}")) for k in "ab"]
     key = ["station", "tile_a", "tile_b"]
-    told = station_pairs.select("evid_a", "evid_b", "station").join(side("a"), "evid_a").join(side("b"), "evid_b")
+    told = station_pairs.select("evid_a", "evid_b", "station").filter("evid_a is not null and evid_b is not null and station is not null")
+    told = told.join(side("a"), "evid_a", "left").join(side("b"), "evid_b", "left").select("evid_a", "evid_b", "station", F.least(*own).alias("tile_a"), F.greatest(*own).alias("tile_b"))
     needed = told.select(*key, F.explode(F.array("evid_a", "evid_b")).alias("evid_a")).distinct()
     fields = ["tp_rel", "ts_rel", "has_p", "has_s", "p_data", "s_data"]
     held = needed.join(windows.select("station", F.col("evid").alias("evid_a"), *fields), ["station", "evid_a"])
@@ -332,9 +350,9 @@ def _tiled(batches: Iterator[pa.RecordBatch], config: Config) -> Iterator[pa.Rec
                 yield pa.RecordBatch.from_arrays([*told, *(pa.array(x) for x in (peak, contrast, dt))], ["evid_a", "evid_b", "station", "phase", "cc", "scc", "dt"])
 
 
-def differential_times(station_pairs: DataFrame, windows: DataFrame, config: Config) -> DataFrame:
+def differential_times(station_pairs: DataFrame, windows: DataFrame, config: Config, tiles: DataFrame | None = None) -> DataFrame:
     """``correlated_times`` of the pairs of events that agree at ``num_sta`` stations at least."""
-    return well_observed(correlated_times(station_pairs, windows, config), config.num_sta)
+    return well_observed(correlated_times(station_pairs, windows, config, tiles), config.num_sta)
 
 
 def paired_windows(station_pairs: DataFrame, windows: DataFrame) -> DataFrame:

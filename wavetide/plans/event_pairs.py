@@ -199,6 +199,11 @@ def _paired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return pairs_, durable(waveforms.cut_windows(asked, _clean(spark, sf_dir), SLOW))
 
 
+def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles of events in cells of 12 km, four times as wide as the partners' greatest distance in latitude."""
+    return durable(waveforms.place_tiles(quake_places(table(spark, sf_dir, "quakes")).select("evid", "lat", "lon"), 4 * CONFIG.loc_dev / 111))
+
+
 def cut_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(spark, sf_dir).select("station", "channel", "evid", "phase", "t_rel", F.size("window").alias("npts"))
 
@@ -217,13 +222,13 @@ def window_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def correlated_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the station pairs' windows give, before the number of stations is asked for."""
     told, windows = _paired(spark, sf_dir)
-    return waveforms.correlated_times(told, waveforms.event_windows(windows, CHAIN), CHAIN)
+    return waveforms.correlated_times(told, waveforms.event_windows(windows, CHAIN), CHAIN, _tiles(spark, sf_dir))
 
 
 def differential_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near pairs, their common stations, correlated windows (P on one channel, S on two), ``num_sta`` stations a pair."""
     told, windows = _paired(spark, sf_dir)
-    return waveforms.differential_times(told, waveforms.event_windows(windows, CHAIN), CHAIN)
+    return waveforms.differential_times(told, waveforms.event_windows(windows, CHAIN), CHAIN, _tiles(spark, sf_dir))
 
 
 #: Samples of a trace that serve as its station's wave, and by how many at most an event's windows begin later.
@@ -245,7 +250,7 @@ def delayed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = lambda name: F.lit(0.0).cast("float").alias(name)
     windows = named.join(waves, "station").join(late, "evid")
     windows = windows.select("station", "evid", at("tp_rel"), at("ts_rel"), F.lit(True).alias("has_p"), F.lit(True).alias("has_s"), F.array(p).alias("p_data"), F.array(s, s).alias("s_data"))
-    return waveforms.differential_times(told, windows, CHAIN.but(cc_thres=0.9, scc_thres=None))
+    return waveforms.differential_times(told, windows, CHAIN.but(cc_thres=0.9, scc_thres=None), _tiles(spark, sf_dir))
 
 
 #: Rates of the tables' traces.
