@@ -6,12 +6,14 @@ import struct
 import numpy as np
 import pytest
 from mseed_files import mseed_record
+from oracle import same
 from pyspark.sql import functions as F
 
 from wavetide.config import Config
 from wavetide.functions import kernels as K
 from wavetide.functions.columns import centisecond_id
 from wavetide.operators import merge, pairs, records, waveforms
+from wavetide.plans import event_pairs
 from wavetide.sources import catalog, mseed, packed, sinks
 
 
@@ -235,6 +237,30 @@ def test_a_number_without_room_in_the_key_is_an_error(spark, at):
         df.select(merge.packed(F.col("a"), F.col("b"), F.col("s"), F.lit("P"))).collect()
 
 
+def beyond_the_key(spark, folder):
+    """Tables of four events, two with numbers above 20 bits, at 1,100 stations with codes of 9 characters."""
+    day = 1_500_000_000_000_000
+    at = lambda us: F.timestamp_micros(F.lit(day) + us)
+    events = spark.createDataFrame([("1", 7), ("2", (1 << 20) + 5), ("3", 50_000_000), ("4", 8)], "evid string, ord long")
+    stations = spark.range(1100).select(F.format_string("NN.%06d", "id").alias("net_sta"), F.lit(10.0).alias("lat"), F.lit(20.0).alias("lon"), F.lit(0.0).alias("ele"), F.col("id").alias("line_no"))
+    events.select("evid", F.lit("w").alias("waveform_id"), at(F.lit(0)).alias("ot"), F.lit(10.0).alias("lat"), F.lit(20.0).alias("lon"), F.lit(5.0).alias("dep"), F.lit(1.0).alias("mag"), "ord").write.parquet(f"{folder}/quakes.parquet")
+    stations.write.parquet(f"{folder}/stations.parquet")
+    late = F.col("line_no") * 100 + F.col("evid").cast("int") * 7000
+    picks = stations.filter("line_no % 333 in (0, 101)").select("net_sta", "line_no").crossJoin(events.select("evid"))
+    picks.select("evid", "net_sta", at(1_000_000 + late).alias("tp"), at(2_000_000 + late).alias("ts"), F.col("line_no") * 10 + F.col("evid").cast("int")).toDF("evid", "net_sta", "tp", "ts", "line_no").write.parquet(f"{folder}/picks.parquet")
+    spark.createDataFrame([("1", "2", 4), ("2", "1", 5), ("3", "2", 6), ("1", "4", 7), ("4", "3", 8)], "evid_a string, evid_b string, n_common int").write.parquet(f"{folder}/pairs.parquet")
+    return str(folder)
+
+
+def test_packed_observations_beyond_the_key(spark, tmp_path):
+    folder = beyond_the_key(spark, tmp_path)
+    n, ours, theirs = same(event_pairs.packed_observations(spark, folder), event_pairs.SQL["packed_observations"], folder)
+    assert (n, ours, theirs) == (5 * 7 * 2, [], [])
+    for bad in ((1 << 32, 1, 0), (1, 1 << 52, 0), (1, -1, 0), (1, 2, 1 << 31)):
+        with pytest.raises(Exception, match="no room in the key"):
+            spark.createDataFrame([bad], "a long, b long, s long").select(merge.long_key(F.col("a"), F.col("b"), F.col("s"), F.lit("P"))).collect()
+
+
 # cutting
 def test_cut_windows(spark):
     rate, start = 10.0, 1_000_000_000_000_000

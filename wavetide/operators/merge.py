@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 MICRO = 1_000_000
 #: Bits of the packed key: both events, station, phase.
 EVENT_BITS, STATION_BITS = 20, 10
+#: Bits that event a, event b and station may have at most for their joined key to be a long.
+LONG_BITS = 32, 52, 31
 
 
 def micro_units(x: Column) -> Column:
@@ -19,15 +21,24 @@ def micro_units(x: Column) -> Column:
     return F.when(fits, F.rint(x * F.lit(float(MICRO))).cast("int")).otherwise(F.raise_error(F.concat(F.lit("no fixed-point value: "), x.cast("string"))).cast("int"))
 
 
+def _held(x: Column, bits: int) -> Column:
+    return F.when(x.isNull() | x.between(0, (1 << bits) - 1), x.cast("long")).otherwise(F.raise_error(F.concat(F.lit("no room in the key: "), x.cast("string"))).cast("long"))
+
+
+def _joined(a: Column, b: Column, station: Column, phase: Column) -> Column:
+    return F.shiftleft(F.shiftleft(a, EVENT_BITS).bitwiseOR(b), STATION_BITS + 1).bitwiseOR(F.shiftleft(station, 1).bitwiseOR(F.when(phase == "S", F.lit(1)).otherwise(F.lit(0)).cast("long")))
+
+
 def packed(a: Column, b: Column, station: Column, phase: Column) -> Column:
     """One long of event a, event b, station number and phase (P 0, S 1). A number that has no room is an error."""
+    return _joined(_held(a, EVENT_BITS), _held(b, EVENT_BITS), _held(station, STATION_BITS), phase)
 
-    def held(x: Column, bits: int) -> Column:
-        return F.when(x.isNull() | x.between(0, (1 << bits) - 1), x.cast("long")).otherwise(F.raise_error(F.concat(F.lit("no room in the key: "), x.cast("string"))).cast("long"))
 
-    return F.shiftleft(F.shiftleft(held(a, EVENT_BITS), EVENT_BITS).bitwiseOR(held(b, EVENT_BITS)), STATION_BITS + 1).bitwiseOR(
-        F.shiftleft(held(station, STATION_BITS), 1).bitwiseOR(F.when(phase == "S", F.lit(1)).otherwise(F.lit(0)).cast("long"))
-    )
+def long_key(a: Column, b: Column, station: Column, phase: Column) -> Column:
+    """The long of ``packed``, joined the same way of larger numbers too. Where they exceed their bits they run into each
+    other: such keys can be equal and cannot be taken apart, so the numbers must stand beside them. Negative numbers and
+    those whose key is no long are an error."""
+    return _joined(*[_held(x, bits) for x, bits in zip((a, b, station), LONG_BITS)], phase)
 
 
 def unpacked(key: Column) -> list[Column]:

@@ -147,21 +147,24 @@ def dt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.dt_lines(well_observed(spark, sf_dir))
 
 
-def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbers = catalog.station_numbers(station_places(table(spark, sf_dir, "stations")))
+def _numbered(spark: SparkSession, sf_dir: str, any_code: bool) -> DataFrame:
+    """event_a, event_b, station_no, phase, dt_u6, cc_u6."""
+    numbers = catalog.station_numbers(station_places(table(spark, sf_dir, "stations")), any_code)
     obs = merge.numbered(observations(spark, sf_dir).join(numbers.select("station"), "station", "left_semi"), numbers)
     index = _quakes(spark, sf_dir).select("evid", "ord")
-    side = lambda k: index.select(F.col("evid").alias(f"evid_{k}"), F.col("ord").alias(f"ord_{k}"))
-    return obs.join(side("a"), "evid_a").join(side("b"), "evid_b").select(merge.packed(F.col("ord_a"), F.col("ord_b"), F.col("station_no"), F.col("phase")).alias("key"), "dt_u6", "cc_u6")
+    side = lambda k: index.select(F.col("evid").alias(f"evid_{k}"), F.col("ord").alias(f"event_{k}"))
+    return obs.join(side("a"), "evid_a").join(side("b"), "evid_b").select("event_a", "event_b", F.col("station_no").cast("long").alias("station_no"), "phase", "dt_u6", "cc_u6")
 
 
 def packed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _packed(spark, sf_dir).select("key", *merge.unpacked(F.col("key")), "dt_u6", "cc_u6")
+    obs = _numbered(spark, sf_dir, any_code=True)
+    return obs.select(merge.long_key(*[F.col(c) for c in ("event_a", "event_b", "station_no", "phase")]).alias("key"), *obs.columns)
 
 
 def packed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations in their binary form and read back."""
-    return packed.unpack(packed.pack(_packed(spark, sf_dir))).select("key", *merge.unpacked(F.col("key")), "dt_u6", "cc_u6")
+    obs = _numbered(spark, sf_dir, any_code=False).withColumn("key", merge.packed(*[F.col(c) for c in ("event_a", "event_b", "station_no", "phase")]))
+    return packed.unpack(packed.pack(obs)).select("key", *merge.unpacked(F.col("key")), "dt_u6", "cc_u6")
 
 
 def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

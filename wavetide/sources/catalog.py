@@ -123,9 +123,12 @@ def parse_observations(lines: DataFrame, most_evid: int = (1 << 20) - 1) -> Data
     return rows.select(first.alias("evid_a"), evid(2).alias("evid_b"), part(3).alias("station"), part(4).alias("phase"), u6(5).alias("dt_u6"), u6(6).alias("cc_u6"), "split", "ord")
 
 
-def station_numbers(stations: DataFrame) -> DataFrame:
-    """station, station_no: distinct codes numbered from 0 in their order; codes are 1 to 8 ASCII characters, 1,024 at most."""
+def station_numbers(stations: DataFrame, any_code: bool = False) -> DataFrame:
+    """station, station_no: distinct codes numbered from 0 in their order; codes are 1 to 8 ASCII characters, 1,024 at most,
+    unless ``any_code`` lifts both limits."""
     codes = stations.select("station").distinct().withColumn("station_no", F.row_number().over(W.orderBy("station")) - 1)
+    if any_code:
+        return codes
     fits = F.col("station").rlike(r"^[\x21-\x7e]{1,8}$") & (F.col("station_no") < 1024)
     return codes.withColumn("station_no", F.when(fits, F.col("station_no")).otherwise(F.raise_error(F.concat(F.lit("no number for station "), F.col("station"))).cast("int")))
 
