@@ -4,6 +4,7 @@ import gzip
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from mseed_files import mseed_record
 from oracle import same
@@ -261,6 +262,35 @@ def test_packed_observations_beyond_the_key(spark, tmp_path):
             spark.createDataFrame([bad], "a long, b long, s long").select(merge.long_key(F.col("a"), F.col("b"), F.col("s"), F.lit("P"))).collect()
 
 
+def test_packed_records_beyond_the_key(spark, tmp_path):
+    folder = beyond_the_key(spark, tmp_path)
+    n, ours, theirs = same(event_pairs.packed_records(spark, folder), event_pairs.SQL["packed_records"], folder)
+    assert (n, ours, theirs) == (5 * 7 * 2, [], [])
+
+
+def test_upper_bits_stand_before_their_record(spark, monkeypatch):
+    told = [(1, 2, 3, "P", -5, 6), ((1 << 32) - 1, (1 << 52) - 1, (1 << 31) - 1, "S", 7, -8), (1 << 20, 0, 0, "P", 0, 0), (0, 1 << 20, 1, "S", 1, 1), (0, 1, 1 << 10, "S", 1, 1), (9, 9, 9, "S", 9, 9)]
+    df = spark.createDataFrame(told, "a long, b long, s long, p string, dt_u6 int, cc_u6 int")
+    contents = packed.pack_split(df.select(*merge.split_numbers(*map(F.col, "absp")), "dt_u6", "cc_u6").coalesce(1)).localCheckpoint()
+    assert len(contents.first().content) == 16 * (6 + 4)
+    for step in (1 << 16, 2, 1):
+        monkeypatch.setattr(packed, "STEP", step)
+        batch = pa.RecordBatch.from_arrays([pa.array([bytes(contents.first().content)], pa.binary())], ["content"])
+        assert np.concatenate(parts := list(packed._records(batch))).tobytes() == contents.first().content and not any(x["key"][-1] >= packed.OVER for x in parts)
+    monkeypatch.undo()
+    read = packed.unpack_split(contents)
+    assert rows(read.select(*merge.whole_numbers(*map(F.col, ("key", "over_events", "over_station"))), "dt_u6", "cc_u6")) == rows(df)
+    plain = df.filter("a < 1000 and b < 1000 and s < 1000").coalesce(1).withColumn("key", merge.packed(*map(F.col, "absp")))
+    split = plain.select(*merge.split_numbers(*map(F.col, "absp")), "dt_u6", "cc_u6")
+    assert packed.pack(plain).first().content == packed.pack_split(split).first().content
+    with pytest.raises(Exception, match="no room in the key"):
+        packed.unpack(contents).collect()
+    over = struct.pack("<QII", 1 << 63 | 1, 0, 0)
+    for bad in (over, over + over + bytes(16)):
+        with pytest.raises(Exception, match="upper bits without"):
+            packed.unpack_split(spark.createDataFrame([(bad,)], "content binary")).collect()
+
+
 # cutting
 def test_cut_windows(spark):
     rate, start = 10.0, 1_000_000_000_000_000

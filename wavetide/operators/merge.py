@@ -13,6 +13,8 @@ MICRO = 1_000_000
 EVENT_BITS, STATION_BITS = 20, 10
 #: Bits that event a, event b and station may have at most for their joined key to be a long.
 LONG_BITS = 32, 52, 31
+#: Bits of event b above its EVENT_BITS.
+OVER_BITS = LONG_BITS[1] - EVENT_BITS
 
 
 def micro_units(x: Column) -> Column:
@@ -52,6 +54,27 @@ def unpacked(key: Column) -> list[Column]:
     ]
 
 
+def split_numbers(a: Column, b: Column, station: Column, phase: Column) -> list[Column]:
+    """key, over_events, over_station: the packed key of the numbers' lower bits, and their bits above it (0 if there is room)."""
+    a, b, station = (_held(x, bits) for x, bits in zip((a, b, station), LONG_BITS))
+    low = lambda x, bits: x.bitwiseAND(F.lit((1 << bits) - 1))
+    over = F.shiftleft(F.shiftright(a, EVENT_BITS), OVER_BITS).bitwiseOR(F.shiftright(b, EVENT_BITS))
+    key = _joined(low(a, EVENT_BITS), low(b, EVENT_BITS), low(station, STATION_BITS), phase)
+    return [key.alias("key"), over.alias("over_events"), F.shiftright(station, STATION_BITS).cast("int").alias("over_station")]
+
+
+def whole_numbers(key: Column, over_events: Column, over_station: Column) -> list[Column]:
+    """event a, event b, station number, phase of what ``split_numbers`` gives."""
+    a, b, station, phase = unpacked(key)
+    over_b = over_events.bitwiseAND(F.lit((1 << OVER_BITS) - 1))
+    return [
+        F.shiftleft(F.shiftright(over_events, OVER_BITS), EVENT_BITS).bitwiseOR(a).alias("event_a"),
+        F.shiftleft(over_b, EVENT_BITS).bitwiseOR(b).alias("event_b"),
+        F.shiftleft(over_station.cast("long"), STATION_BITS).bitwiseOR(station).alias("station_no"),
+        phase,
+    ]
+
+
 def last_observations(obs: DataFrame) -> DataFrame:
     """evid_a, evid_b, station, phase, dt_u6, cc_u6: the observation with the largest ``ordinal`` of each."""
     return (

@@ -147,9 +147,12 @@ def dt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.dt_lines(well_observed(spark, sf_dir))
 
 
-def _numbered(spark: SparkSession, sf_dir: str, any_code: bool) -> DataFrame:
+NUMBERS = ("event_a", "event_b", "station_no", "phase")
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_a, event_b, station_no, phase, dt_u6, cc_u6."""
-    numbers = catalog.station_numbers(station_places(table(spark, sf_dir, "stations")), any_code)
+    numbers = catalog.station_numbers(station_places(table(spark, sf_dir, "stations")), any_code=True)
     obs = merge.numbered(observations(spark, sf_dir).join(numbers.select("station"), "station", "left_semi"), numbers)
     index = _quakes(spark, sf_dir).select("evid", "ord")
     side = lambda k: index.select(F.col("evid").alias(f"evid_{k}"), F.col("ord").alias(f"event_{k}"))
@@ -157,14 +160,15 @@ def _numbered(spark: SparkSession, sf_dir: str, any_code: bool) -> DataFrame:
 
 
 def packed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = _numbered(spark, sf_dir, any_code=True)
-    return obs.select(merge.long_key(*[F.col(c) for c in ("event_a", "event_b", "station_no", "phase")]).alias("key"), *obs.columns)
+    obs = _numbered(spark, sf_dir)
+    return obs.select(merge.long_key(*map(F.col, NUMBERS)).alias("key"), *obs.columns)
 
 
 def packed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations in their binary form and read back."""
-    obs = _numbered(spark, sf_dir, any_code=False).withColumn("key", merge.packed(*[F.col(c) for c in ("event_a", "event_b", "station_no", "phase")]))
-    return packed.unpack(packed.pack(obs)).select("key", *merge.unpacked(F.col("key")), "dt_u6", "cc_u6")
+    contents = packed.pack_split(_numbered(spark, sf_dir).select(*merge.split_numbers(*map(F.col, NUMBERS)), "dt_u6", "cc_u6"))
+    obs = packed.unpack_split(contents).select(*merge.whole_numbers(*map(F.col, ("key", "over_events", "over_station"))), "dt_u6", "cc_u6")
+    return obs.select(merge.long_key(*map(F.col, NUMBERS)).alias("key"), *obs.columns)
 
 
 def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
